@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup
+from . import chat_format, graph_search, phrase_fingerprint, substring_dedup, warc_bundles
+from .common import shared_dir, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +18,30 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.kept_digest(substring_dedup.dedup_table(_table(spark, sf_dir, "documents")))
 
 
+def op2_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_fingerprint.compare_edits(_table(spark, sf_dir, "documents"))
+
+
+def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bundles = written(warc_bundles.bundles(_table(spark, sf_dir, "pages")), shared_dir(spark), "bundles")
+    return warc_bundles.read(bundles).drop("url")
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.read_back(chat_format.format_conversations(turns))
+
+
+def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = written(graph_search.usable(_table(spark, sf_dir, "embeddings")), folder := shared_dir(spark), "vectors")
+    index = written(graph_search.build_index(rows, 20), folder, "index")
+    return graph_search.search_index(index, rows.filter("vec_id % 20 = 0"), 20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op5_warc_bundles, op7_chat_format, op10_graph_search)}
 
 
 def oracle_sql() -> dict[str, str]:
