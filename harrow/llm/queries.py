@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, graph_search, phrase_fingerprint, substring_dedup, warc_bundles
+from . import chat_format, graph_search, phrase_fingerprint, substring_dedup, toxicity, warc_bundles
 from .common import shared_dir, written
 
 
@@ -34,6 +34,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(turns))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_all(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(graph_search.usable(_table(spark, sf_dir, "embeddings")), folder := shared_dir(spark), "vectors")
     index = written(graph_search.build_index(rows, 20), folder, "index")
@@ -41,7 +45,7 @@ def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op5_warc_bundles, op7_chat_format, op10_graph_search)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op5_warc_bundles, op7_chat_format, op9_toxicity, op10_graph_search)}
 
 
 def oracle_sql() -> dict[str, str]:
