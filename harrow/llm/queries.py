@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, graph_search, phrase_fingerprint, substring_dedup, toxicity, warc_bundles
+from . import chat_format, graph_search, ngram_join, phrase_fingerprint, substring_dedup, toxicity, warc_bundles
 from .common import shared_dir, written
 
 
@@ -27,6 +27,10 @@ def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.read(bundles).drop("url")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(_table(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -45,7 +49,7 @@ def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op5_warc_bundles, op7_chat_format, op9_toxicity, op10_graph_search)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op5_warc_bundles, op6_ngram_join, op7_chat_format, op9_toxicity, op10_graph_search)}
 
 
 def oracle_sql() -> dict[str, str]:
