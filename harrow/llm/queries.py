@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, graph_search, ngram_join, phrase_fingerprint, substring_dedup, toxicity, warc_bundles
+from . import chat_format, graph_search, line_dedup, mixing, ngram_join, phrase_fingerprint, piece_coding, substring_dedup, toxicity, warc_bundles
 from .common import shared_dir, written
 
 
@@ -22,6 +23,15 @@ def op2_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_fingerprint.compare_edits(_table(spark, sf_dir, "documents"))
 
 
+def op3_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = piece_coding.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return coded.select("doc_id", "n_tokens", "ids", F.sha2(piece_coding.decoded(F.col("ids")), 256).alias("decoded_sha256"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "source", "mix_epoch", "mix_slot")
+
+
 def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundles = written(warc_bundles.bundles(_table(spark, sf_dir, "pages")), shared_dir(spark), "bundles")
     return warc_bundles.read(bundles).drop("url")
@@ -38,6 +48,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(turns))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_all(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -49,7 +63,7 @@ def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op5_warc_bundles, op6_ngram_join, op7_chat_format, op9_toxicity, op10_graph_search)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op3_piece_coding, op4_mixing, op5_warc_bundles, op6_ngram_join, op7_chat_format, op8_line_dedup, op9_toxicity, op10_graph_search)}
 
 
 def oracle_sql() -> dict[str, str]:

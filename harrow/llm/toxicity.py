@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -233,7 +234,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """docs with score (0 to 1) and predicted (1 from 0.5 on), without a shuffle. Null texts count as empty."""
 
     @F.pandas_udf("double")
-    def scored(texts):
+    def scored(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: model.score(t or "")).astype("float64")
 
     scores = scored(F.coalesce("text", F.lit("")))
