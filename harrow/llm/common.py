@@ -7,15 +7,20 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task hashes at once; numpy needs about forty times as much for it.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: The bytes that part words: space and the controls 9 to 13.
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: 64-bit words of a bit filter (4 MB).
+FILTER_WORDS = 1 << 19
+
 _R1 = np.uint64(0x9E3779B97F4A7C15)
 _R2 = np.uint64(0xD6E8FEB86659FD93)
 
@@ -118,3 +123,25 @@ def within_rows(counts: np.ndarray, k: int, n: int) -> np.ndarray:
 def row_of(counts: np.ndarray) -> np.ndarray:
     """The row of each word."""
     return np.repeat(np.arange(len(counts) - 1), np.diff(counts))
+
+
+def bit_filter(keys: DataFrame, key: str) -> np.ndarray:
+    """A table of fixed size with one bit set for each key's hash: keys that aren't there mostly find their bit unset. However many keys
+    there are, the driver gets FILTER_WORDS words at most; with very many all bits are set and nothing is filtered."""
+    bit = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
+    rows = keys.select(bit.alias("b")).groupBy(F.expr("b div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits")).toPandas()
+    table = np.zeros(FILTER_WORDS, np.int64)
+    table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return table
+
+
+def maybe_in(session: SparkSession, table: np.ndarray, key: Column) -> Column:
+    """Whether a key's bit is set; only the bit's number goes to Python."""
+    sent = session.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def maybe(bits: pd.Series) -> pd.Series:
+        at = bits.to_numpy(np.int64)
+        return pd.Series((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return maybe(F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS)))

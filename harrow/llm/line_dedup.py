@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, powers, shared_dir, string_bytes, written
+from .common import bit_filter, maybe_in, mix, powers, shared_dir, slices, string_bytes, written
 
 #: Lines that the rolling hash spans, one in how many lines ends a chunk, and the most lines of a chunk.
 SPAN, ONE_IN, MOST_LINES = 2, 4, 32
@@ -72,35 +72,36 @@ def chunks(docs: DataFrame, with_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = string_bytes(batch.column(1))
-            rows, places, hashes, texts = [], [], [], []
-            for i in range(batch.num_rows):
-                own = data[offsets[i] : offsets[i + 1]]
-                ends, lines = chunk_ends(own)
-                many = np.flatnonzero(lines > 1)
-                if not len(many):
-                    continue
-                rows.append(np.full(len(many), i))
-                places.append(many)
-                hashes.append(_hashes(own, ends)[many])
-                if with_text:
-                    raw = own.tobytes()
-                    texts += [raw[ends[k - 1] if k else 0 : ends[k]].decode() for k in many]
-            if rows:
-                columns = [batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64))]
-                yield pa.RecordBatch.from_arrays([*columns, *([pa.array(texts, pa.string())] if with_text else [])], ["doc_id", "at", "hash", *(["chunk"] if with_text else [])])
+            for a, b in slices(offsets):
+                rows, places, hashes, texts = [], [], [], []
+                for i in range(a, b):
+                    own = data[offsets[i] : offsets[i + 1]]
+                    ends, lines = chunk_ends(own)
+                    many = np.flatnonzero(lines > 1)
+                    if not len(many):
+                        continue
+                    rows.append(np.full(len(many), i))
+                    places.append(many)
+                    hashes.append(_hashes(own, ends)[many])
+                    if with_text:
+                        raw = own.tobytes()
+                        texts += [raw[ends[k - 1] if k else 0 : ends[k]].decode() for k in many]
+                if rows:
+                    columns = [batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64))]
+                    yield pa.RecordBatch.from_arrays([*columns, *([pa.array(texts, pa.string())] if with_text else [])], ["doc_id", "at", "hash", *(["chunk"] if with_text else [])])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, at int, hash long" + (", chunk string" if with_text else ""))
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
+def repeated_chunks(docs: DataFrame, folder: str) -> DataFrame:
     """(doc_id, at) of every chunk whose bytes stand in a smaller doc_id or earlier in its own text.
 
     Only hashes are gathered at first; the texts of chunks whose hash repeats are then grouped by their bytes.
     """
-    folder = shared_dir(docs.sparkSession)
     place = F.struct("doc_id", "at")
-    groups = chunks(docs, False).groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash")
-    suspects = written(chunks(docs, True).join(written(groups, folder, "hashes"), "hash", "left_semi"), folder, "suspects")
+    groups = written(chunks(docs, False).groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash"), folder, "hashes")
+    likely = chunks(docs, True).filter(maybe_in(docs.sparkSession, bit_filter(groups, "hash"), F.col("hash")))
+    suspects = written(likely.join(groups, "hash", "left_semi"), folder, "suspects")
     firsts = suspects.groupBy("hash", "chunk").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash", "chunk", "low")
     return suspects.join(firsts, ["hash", "chunk"]).filter(place > F.col("low")).select("doc_id", "at")
 
@@ -112,8 +113,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     of equal doc_id are treated as one document's (a chunk of the one counts as repeated in the other only if its number is
     larger); rows without a doc_id keep their texts.
     """
+    folder = shared_dir(docs.sparkSession)
     own = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    gone = repeated_chunks(own.filter("_id IS NOT NULL").select(F.col("_id").alias("doc_id"), "text")).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("at").alias("_gone"))
+    gone = repeated_chunks(own.filter("_id IS NOT NULL").select(F.col("_id").alias("doc_id"), "text"), folder).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("at").alias("_gone"))
+    gone = written(gone, folder, "gone")
+    hit = maybe_in(docs.sparkSession, bit_filter(gone, "_id"), F.coalesce("_id", F.lit(0)))
 
     @F.udf("string", useArrow=True)
     def without(text, gone):
@@ -127,8 +131,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             first = end
         return b"".join(keep).decode()
 
-    # Only texts that lose something are sent to Python.
-    joined = own.join(gone, "_id", "left").withColumn("_cut", without(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut"))
-    removed = (F.coalesce(F.octet_length("text"), F.lit(0)) - F.coalesce(F.octet_length(text), F.lit(0))).cast("long")
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns], removed.alias("n_removed"))
+    # Documents that lose nothing are neither shuffled nor sent to Python.
+    marked = own.withColumn("_hit", hit)
+    joined = marked.filter("_hit").join(gone, "_id", "left").withColumn("_cut", without(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
+    joined = joined.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut"))).drop("_gone", "_cut")
+    rows = joined.unionByName(marked.filter("NOT _hit").withColumn("_text", F.col("text")))
+    removed = (F.coalesce(F.octet_length("text"), F.lit(0)) - F.coalesce(F.octet_length("_text"), F.lit(0))).cast("long")
+    return rows.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns], removed.alias("n_removed"))
