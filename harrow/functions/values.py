@@ -153,22 +153,25 @@ def parse_date(x: Column | str) -> Column:
 
     Days, months and times that don't exist give null.
     """
-    raw = F.trim(F.regexp_replace(F.coalesce(col(x), F.lit("")), "^" + SPACES + "|" + SPACES + "$", ""))
+    return let(F.regexp_replace(F.coalesce(col(x), F.lit("")), "^" + SPACES + "|" + SPACES + "$", ""), lambda raw: let(norm(raw), lambda t: _date_of(raw, t)))
+
+
+def _date_of(raw: Column, t: Column) -> Column:
     part = lambda text, pattern, k, default=None: F.coalesce(F.nullif(F.regexp_extract(text, pattern, k), F.lit("")), F.lit(default))
     full = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2})?([.]\d+)?([+-]\d{2}:\d{2}|Z)$"
     naive = r"^(\d{4})-(\d{2})-(\d{2})(?:[T ](\d{1,2}):(\d{2}))?"
     dmy = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})(?:\D{1,3}(\d{1,2})[:.](\d{2}))?"
     named = r"(\d{1,2})\s*(?:de\s+|d[’']\s*)?([a-z]+)\s*(?:de\s+|del\s+)?(\d{4})"
     clock = r"(\d{1,2})[:.h](\d{2})"
-    t = norm(raw)
     months = F.create_map(*[F.lit(v) for k, names in enumerate(MONTHS, 1) for name in names.split() for v in (name, str(k))])
-    out = lambda at, timed: F.when(at.isNotNull(), F.struct(local_iso(at).alias("iso"), F.when(timed, "exact").otherwise("day").alias("confidence")))
-    return (
-        F.when(raw.rlike(full), out(F.try_to_timestamp(raw), F.lit(True)))
-        .when(raw.rlike(naive), out(_local_time(*(part(raw, naive, k) for k in (1, 2, 3)), part(raw, naive, 4, "0"), part(raw, naive, 5, "0")), part(raw, naive, 4).isNotNull()))
-        .when(raw.rlike(dmy), out(_local_time(part(raw, dmy, 3), part(raw, dmy, 2), part(raw, dmy, 1), part(raw, dmy, 4, "0"), part(raw, dmy, 5, "0")), part(raw, dmy, 4).isNotNull()))
-        .when(t.rlike(named), out(_local_time(part(t, named, 3), months[part(t, named, 2)], part(t, named, 1), part(t, clock, 1, "0"), part(t, clock, 2, "0")), t.rlike(clock)))
+    timed = F.when(raw.rlike(full), True).when(raw.rlike(naive), part(raw, naive, 4).isNotNull()).when(raw.rlike(dmy), part(raw, dmy, 4).isNotNull()).otherwise(t.rlike(clock))
+    at = (
+        F.when(raw.rlike(full), F.try_to_timestamp(raw))
+        .when(raw.rlike(naive), _local_time(*(part(raw, naive, k) for k in (1, 2, 3)), part(raw, naive, 4, "0"), part(raw, naive, 5, "0")))
+        .when(raw.rlike(dmy), _local_time(part(raw, dmy, 3), part(raw, dmy, 2), part(raw, dmy, 1), part(raw, dmy, 4, "0"), part(raw, dmy, 5, "0")))
+        .when(t.rlike(named), _local_time(part(t, named, 3), months[part(t, named, 2)], part(t, named, 1), part(t, clock, 1, "0"), part(t, clock, 2, "0")))
     )
+    return let(at, lambda a: F.when(a.isNotNull(), F.struct(local_iso(a).alias("iso"), F.when(timed, "exact").otherwise("day").alias("confidence"))))
 
 
 def _now_us(now: datetime) -> Column:

@@ -158,7 +158,7 @@ def _clusters(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CLUSTERS = f"""{Q.CANDIDATES}, clusters AS (SELECT title, collection, min(ord) AS ord, max(start_at) AS start_at, max(end_at) AS end_at, min(lat) AS lat, min(lng) AS lng, max(description) AS description, list_distinct(list({{'id': source_id, 'tier': tier, 'trust': trust, 'url': url}})) AS sources FROM candidates GROUP BY 1, 2),
-good AS (SELECT *, list_filter(sources, lambda s: s.tier <> 'C') AS good FROM clusters), means AS (SELECT *, CASE WHEN len(good) = 0 THEN 0 ELSE list_sum(list_transform(good, lambda s: s.trust)) / len(good) END AS mean FROM good),
+good AS (SELECT *, list_filter(sources, lambda s: s.tier <> 'C') AS good FROM clusters), means AS (SELECT *, CASE WHEN len(good) = 0 THEN 0 ELSE round(list_sum(list_transform(good, lambda s: s.trust)) / len(good), 9) END AS mean FROM good),
 scored AS (SELECT *, CASE WHEN len(good) = 0 THEN 0 ELSE floor([10, 18, 23, 25][least(len(good), 4)] * mean + 0.5)::INT END AS consensus, floor(mean * 5 + 0.5)::INT AS reputation,
   CASE WHEN collection = 'museums' THEN 5 WHEN ceil((epoch(start_at) - epoch({N})) / 86400.0) <= 14 THEN 5 WHEN ceil((epoch(start_at) - epoch({N})) / 86400.0) <= 30 THEN 3 WHEN ceil((epoch(start_at) - epoch({N})) / 86400.0) <= 60 THEN 1 ELSE 0 END AS freshness, 2 + (end_at IS NOT NULL)::INT * 2 AS completeness FROM means)"""
 
@@ -277,14 +277,14 @@ def evidence_verify(spark: SparkSession, d: str) -> DataFrame:
     material = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("material"))
     cards = turns.filter("role = 'assistant'").join(material, ["conv_id", "turn"])
     e = lambda f, x: F.struct(F.lit(f).alias("field"), x.alias("fragment"))
-    pieces = F.array(e("Precio", F.substring("material", 1, 20)), e("horario", F.substring("material", 5, 30)), e("reserva", F.substring("text", 1, 25)), e("Cómo llegar", F.upper(F.substring("material", 10, 15))), e("duración", F.lit("90 min")))
+    pieces = F.array(e("Precio", F.substring("material", 1, 20)), e("horario", F.substring("material", 5, 30)), e("reserva", F.substring("text", 1, 25)), e("Cómo llegar", F.concat(F.lit("  "), F.substring("material", 10, 15))), e("duración", F.lit("90 min")))
     rows = cards.select("conv_id", "turn", "material", pieces.alias("evidence"))
     return verify.evidence(rows).select("conv_id", "turn", F.array_join("proved", ",").alias("proved"), F.array_join("unproved", ",").alias("unproved"), F.array_join("dropped", ",").alias("dropped"))
 
 
 _LIT = lambda f: f"({Q.norm(f)} <> '' AND contains({Q.norm('material')}, {Q.norm(f)}))"
 _EVIDENCE = f"""WITH c AS (SELECT a.conv_id, a.turn, a.text, b.text AS material FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1 WHERE a.role = 'assistant'),
-k AS (SELECT conv_id, turn, {_LIT("left(material, 20)")} AND regexp_matches(left(material, 20), '[0-9]') AS p, {_LIT("substring(material, 5, 30)")} AS h, {_LIT("left(text, 25)")} AS r, {_LIT("upper(substring(material, 10, 15))")} AS t, {_LIT("'90 min'")} AS u FROM c)
+k AS (SELECT conv_id, turn, {_LIT("left(material, 20)")} AND regexp_matches(left(material, 20), '[0-9]') AS p, {_LIT("substring(material, 5, 30)")} AS h, {_LIT("left(text, 25)")} AS r, {_LIT("'  ' || substring(material, 10, 15)")} AS t, {_LIT("'90 min'")} AS u FROM c)
 SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN t THEN 'location' END, CASE WHEN p THEN 'price' END, CASE WHEN h OR r OR u THEN 'schedule' END], lambda x: x IS NOT NULL), ',') AS proved,
 array_to_string(list_filter([CASE WHEN NOT t THEN 'comollegar' END, CASE WHEN NOT u THEN 'duracion' END, CASE WHEN NOT h THEN 'horario' END, CASE WHEN NOT p THEN 'precio' END, CASE WHEN NOT r THEN 'reserva' END], lambda x: x IS NOT NULL), ',') AS unproved,
 array_to_string(list_filter([CASE WHEN NOT u THEN 'duration' END, CASE WHEN NOT r THEN 'booking' END, CASE WHEN NOT r THEN 'booking_days' END, CASE WHEN NOT t THEN 'transit' END, CASE WHEN NOT p THEN 'includes' END], lambda x: x IS NOT NULL), ',') AS dropped FROM k"""

@@ -11,7 +11,9 @@ NOW = datetime(2001, 6, 15, 12)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table with its zoneless times read as UTC instants."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows.withColumns({c: F.col(c).cast("timestamp") for c, kind in rows.dtypes if kind == "timestamp_ntz"})
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
