@@ -106,8 +106,8 @@ def repeated_chunks(docs: DataFrame, folder: str) -> DataFrame:
     return suspects.join(firsts, ["hash", "chunk"]).filter(place > F.col("low")).select("doc_id", "at")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text and any others) with the chunks removed from text, and n_removed, the number of bytes that went.
+def remove_repeats(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
+    """docs (doc_id, text and any others) with the chunks removed from text, and the number of bytes that went as the column `removed`, which replaces one of that name.
 
     A document keeps its row even if nothing of its text is left. Null texts stay null; single lines are never removed; rows
     of equal doc_id are treated as one document's (a chunk of the one counts as repeated in the other only if its number is
@@ -136,5 +136,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     joined = marked.filter("_hit").join(gone, "_id", "left").withColumn("_cut", without(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
     joined = joined.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut"))).drop("_gone", "_cut")
     rows = joined.unionByName(marked.filter("NOT _hit").withColumn("_text", F.col("text")))
-    removed = (F.coalesce(F.octet_length("text"), F.lit(0)) - F.coalesce(F.octet_length("_text"), F.lit(0))).cast("long")
-    return rows.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns], removed.alias("n_removed"))
+    gone_bytes = (F.coalesce(F.octet_length("text"), F.lit(0)) - F.coalesce(F.octet_length("_text"), F.lit(0))).cast("long")
+    return rows.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != removed], gone_bytes.alias(removed))

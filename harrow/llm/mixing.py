@@ -80,8 +80,8 @@ def plan(tokens: dict[str, int], budget: float | None = None, target_entropy: fl
     return Mix(exponent, size(w), dict(zip(names, w, strict=True)))
 
 
-def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | None = None, max_epochs: float | None = 2.0, seed: int = 1, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """docs (doc_id, text, source and any others), each row as often as its source's budget takes it, with mix_epoch (from 0) and mix_slot (its block's place in that epoch's order).
+def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | None = None, max_epochs: float | None = 2.0, seed: int = 1, block_tokens: int = BLOCK_TOKENS, places: bool = True) -> DataFrame:
+    """docs (doc_id, text, source and any others), each row as often as its source's budget takes it, with mix_epoch (from 0) and mix_slot (its block's place in that epoch's order), which replace columns of those names; without them if places is false.
 
     Null sources are one source of their own. Documents without words cost nothing and come once; so do all of a source without
     words. Rows of equal doc_id and source are taken or left together in a last epoch. Sources go through the driver as
@@ -121,8 +121,10 @@ def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | No
     within = (F.col("_block") == F.col("_cut_block")) & (F.struct(place(last).alias("_place"), F.col("doc_id").alias("_id")) <= F.col("_end"))
     in_last = (F.col("_rest") > 0) & (F.col("_cut_slot").isNull() & (F.col("_rest") >= 1) | F.coalesce(earlier, F.lit(False)) | F.coalesce(within, F.lit(False)))
     times = F.when(~F.col("_any"), 1).otherwise(F.col("_whole") + in_last.cast("int"))
-    repeated = own.withColumn("mix_epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))))
-    return repeated.withColumn("mix_slot", slot(F.col("mix_epoch"))).select(*docs.columns, "mix_epoch", "mix_slot")
+    repeated = own.withColumn("_epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))))
+    if not places:
+        return repeated.select(*docs.columns)
+    return repeated.select(*[c for c in docs.columns if c not in ("mix_epoch", "mix_slot")], F.col("_epoch").alias("mix_epoch"), slot(F.col("_epoch")).alias("mix_slot"))
 
 
 def _sent(sources: DataFrame, n: int) -> DataFrame:

@@ -230,18 +230,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     return ToxicityModel({t: float(w) for t, w in zip(terms, weights, strict=True) if w}, bias, voters, label_model)
 
 
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """docs with score (0 to 1) and predicted (1 from 0.5 on), without a shuffle. Null texts count as empty."""
+def score_of(text: Column, model: ToxicityModel) -> Column:
+    """The score (0 to 1) of a text column, without a shuffle. Null texts count as empty."""
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: model.score(t or "")).astype("float64")
+        return texts.map(model.score).astype("float64")
 
-    scores = scored(F.coalesce("text", F.lit("")))
-    return docs.withColumn("score", scores).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return scored(F.coalesce(text, F.lit("")))
 
 
 def score_all(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of docs, by a model that the rows not held out have taught."""
-    scored = score(docs.select("doc_id", "text"), fit(docs, labels, sample_rows))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    rows = docs.select("doc_id", score_of(F.col("text"), fit(docs, labels, sample_rows)).alias("score"))
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
