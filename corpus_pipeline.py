@@ -15,13 +15,13 @@ WORDS, PERCENT, MAX_EPOCHS = 5, 80, 1.5
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    return docs.filter(toxicity.score_of(F.col("text"), model) < 0.5)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated chunks of lines go, and documents of which nothing is left."""
-    kept = line_dedup.remove_repeats(docs).filter("n_removed = 0 OR length(text) > 0")
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    kept = line_dedup.remove_repeats(docs, "_removed").filter("_removed = 0 OR length(text) > 0")
+    return kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*docs.columns)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +32,12 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Small sources are repeated up to MAX_EPOCHS times, so that source weights come as near to each other as that allows; no document is left out."""
-    return mixing.mix(docs, budget=None, max_epochs=MAX_EPOCHS).select(*docs.columns)
+    return mixing.mix(docs, budget=None, max_epochs=MAX_EPOCHS, places=False)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, each decoded again to the digest of its text."""
-    coded = piece_coding.encode(docs.select("doc_id", "lang", "source", "text"))
-    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2(piece_coding.decoded(F.col("ids")), 256).alias("decoded_sha256"))
+    return piece_coding.encode(docs, keep=["doc_id", "lang", "source"], check=True)
 
 
 STAGES = [
