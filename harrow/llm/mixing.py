@@ -55,24 +55,30 @@ class Mix:
 
 
 def plan(tokens: dict[str, int], budget: float | None = None, target_entropy: float | None = None, max_epochs: float | None = None) -> Mix:
-    """The flattest mix (exponent from 0 to 1) within the limits.
+    """The flattest mix within the limits.
 
-    target_entropy: the weights' entropy (nats) is brought down to this, as far as the sources' own shares allow. max_epochs: no
-    source is repeated more often; a budget above max_epochs times all tokens is lowered to that. budget None: as few tokens
-    as give every document once.
+    target_entropy: the exponent (0 to 8) is the smallest whose weights have at most this entropy (nats); if sources would then be
+    repeated more than max_epochs times, the budget is lowered. Without a target the exponent (0 to 1) is the smallest that repeats no source
+    more than max_epochs times; a budget above max_epochs times all tokens is lowered to that. budget None: as few tokens as
+    give every document once.
     """
     names, total = sorted(tokens), sum(tokens.values())
     shares = [tokens[s] / total if total else 0.0 for s in names]
-    if budget is not None and max_epochs is not None:
-        budget = min(budget, max_epochs * total)
 
     def size(w: list[float]) -> float:
         return budget if budget is not None else max((p * total / x for p, x in zip(shares, w, strict=True) if x > 0), default=0.0)
 
+    if target_entropy is not None:
+        exponent = bisect(lambda e: entropy(weights(shares, e)) > target_entropy, 0.0, 8.0)
+        w = weights(shares, exponent)
+        most = min((max_epochs * p * total / x for p, x in zip(shares, w, strict=True) if x > 0), default=0.0) if max_epochs is not None else float("inf")
+        return Mix(exponent, min(size(w), most), dict(zip(names, w, strict=True)))
+
+    if budget is not None and max_epochs is not None:
+        budget = min(budget, max_epochs * total)
+
     def too_flat(exponent: float) -> bool:
         w = weights(shares, exponent)
-        if target_entropy is not None and entropy(w) > target_entropy + 1e-12:
-            return True
         return max_epochs is not None and any(x * size(w) > max_epochs * p * total * (1 + 1e-12) for x, p in zip(w, shares, strict=True))
 
     exponent = bisect(too_flat)
