@@ -74,7 +74,7 @@ def diversify(rows: DataFrame, limit: int, threshold: float = 62, fallback: floa
 
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join([*(f"{k} {kind[k]}" for k in key), "ord long", out_type])
-    grouped = near.select(*key, *names).groupBy(*key) if key else near.select(*names).groupBy(F.lit(0))
+    grouped = near.select(*key, *names).groupBy(*key) if key else near.select(*names).groupBy()
     chosen = grouped.applyInPandas(choose, schema)
     joined = rows.join(chosen, [*key, "ord"], "left")
     return joined.withColumn("outcome", F.coalesce("outcome", F.when(F.col("total") < threshold, "below threshold").otherwise("not reached")))
