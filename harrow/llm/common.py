@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,6 +20,8 @@ SLICE_BYTES = 1 << 18
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: Rows of a batch that a task hands to Python at once; Spark's default of 10 000 long texts takes much memory on either side.
+BATCH_ROWS = 2000
 #: 64-bit words of a bit filter (4 MB).
 FILTER_WORDS = 1 << 19
 
@@ -145,3 +149,24 @@ def maybe_in(session: SparkSession, table: np.ndarray, key: Column) -> Column:
         return pd.Series((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
 
     return maybe(F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS)))
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to BATCH_ROWS rows, if they are larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def tidied(run: Callable) -> Callable:
+    """A task's function that gives memory back to the system when it is done: Python workers live on and serve other tasks."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return whole

@@ -8,18 +8,20 @@ segmentation with the largest sum of the model's piece scores. Characters outsid
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import chain
 from math import log
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import slices, string_bytes
+from .common import slices, string_bytes, tidied
 
 MARK = "▁"
 #: The mark and the space change places, so a mark that a text has itself stays apart from its spaces.
@@ -27,7 +29,7 @@ SWAP = {ord(" "): MARK, ord(MARK): " "}
 WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose pieces a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 
 def path_scores(scores: list[float]) -> list[float]:
@@ -118,56 +120,99 @@ class PieceVocabulary:
         """A text's marked words; a mark before the text lets its first word look like any other."""
         return WORD.findall(MARK + text.translate(SWAP)) if text else []
 
+    def keys(self, text: str) -> list[str]:
+        """The marked words of a text in a form that splitting gives at once: a word after one space is what follows the space, a word
+        at a line's start has a line feed before it, runs of line feeds are themselves, and any other word is marked and has a NUL before it."""
+        if not text:
+            return []
+        out: list[str] = []
+        if "\0" not in text and "  " not in text and "\n\n" not in text and " \n" not in text and "\n " not in text and text[0] != " " and text[-1] != " ":
+            for k, line in enumerate(text.split("\n")):
+                tokens = line.split(" ") if line else []
+                if k:
+                    out.append("\n")
+                    if tokens:
+                        tokens[0] = "\n" + tokens[0]
+                elif not tokens:
+                    return ["\0" + w for w in self.words(text)]
+                out += tokens
+            return out
+        return ["\0" + w for w in self.words(text)]
+
+    @staticmethod
+    def marked(key: str) -> str:
+        if key[0] == "\0":
+            return key[1:]
+        if key[0] == "\n":
+            return key[1:].translate(SWAP) or "\n"
+        return MARK + key.translate(SWAP)
+
+    def encode_keys(self, keys: set[str]) -> dict[str, list[int]]:
+        """The pieces of each key's word."""
+        words = sorted((self.marked(k), k) for k in keys)
+        return {k: pieces for (_, k), pieces in zip(words, self.encode_words([w for w, _ in words]), strict=True)}
+
     def encode(self, text: str) -> list[int]:
-        words = self.words(text)
-        known = sorted(set(words))
-        pieces = dict(zip(known, self.encode_words(known), strict=True))
-        return [p for w in words for p in pieces[w]]
+        keys = self.keys(text)
+        pieces = self.encode_keys(set(keys))
+        return [p for k in keys for p in pieces[k]]
 
     def decode(self, ids: list[int]) -> str:
         texts = self.texts
         return b"".join([texts[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
-def encode(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
-    """docs with ids (array of int, the pieces of text) and n_tokens, without a shuffle. Null and empty texts have no pieces.
+def encode(docs: DataFrame, model: str = DEFAULT_MODEL, keep: list[str] | None = None, check: bool = False) -> DataFrame:
+    """The columns of docs (all, or those to keep; own ones replace others of their names) with ids (array of int, the pieces of text) and n_tokens; with check also decoded_sha256, the
+    digest of the text that the ids decode to. Nothing is shuffled. Null and empty texts have no pieces.
 
-    A task takes texts in stretches of about a megabyte, and searches only words that it doesn't remember.
+    A task takes texts in stretches of a quarter of a megabyte, and searches only words that it doesn't remember.
     """
     vocabulary = PieceVocabulary.load(model)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_tokens", "decoded_sha256")]
+    names = [*keep, "ids", "n_tokens", *(["decoded_sha256"] if check else [])]
 
-    @F.pandas_udf("array<int>")
-    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: dict[str, int] = {}
         flat, ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        for texts in batches:
-            _, offsets = string_bytes(pa.array(texts, pa.string()))
-            out: list[np.ndarray] = []
+        for batch in batches:
+            texts = batch.column(0)
+            _, offsets = string_bytes(texts)
             for a, b in slices(offsets):
-                rows = [vocabulary.words(t or "") for t in texts.iloc[a:b]]
+                rows = [vocabulary.keys(t or "") for t in texts[a:b].to_pylist()]
                 if len(ids) > REMEMBERED:
                     ids, flat, ends = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
-                new = sorted(set().union(*rows) - ids.keys())
+                new = set().union(*rows) - ids.keys()
                 if new:
-                    coded = vocabulary.encode_words(new)
-                    ids.update(zip(new, range(len(ids), len(ids) + len(new)), strict=True))
-                    flat = np.concatenate([flat, np.fromiter((p for c in coded for p in c), np.int32)])
-                    ends = np.concatenate([ends, ends[-1] + np.cumsum([len(c) for c in coded])])
-                for row in rows:
-                    at = np.fromiter(map(ids.__getitem__, row), np.int64, len(row))
-                    counts = ends[at + 1] - ends[at]
-                    out.append(flat[np.repeat(ends[at] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())])
-            yield pd.Series(out, dtype=object)
-
-    return docs.withColumn("ids", pieces("text")).withColumn("n_tokens", F.size("ids").cast("long"))
-
-
-def decoded(ids: Column, model: str = DEFAULT_MODEL) -> Column:
-    """The text of pieces; null for null."""
+                    coded = vocabulary.encode_keys(new)
+                    ids.update(zip(coded, range(len(ids), len(ids) + len(coded)), strict=True))
+                    more, stops = np.fromiter(chain.from_iterable(coded.values()), np.int32), ends[-1] + np.cumsum([len(c) for c in coded.values()])
+                    if len(flat) < ends[-1] + len(more):
+                        flat = np.concatenate([flat[: ends[-1]], np.zeros(ends[-1] + 2 * len(more), np.int32)])  # room to grow, so not every slice copies
+                    flat[ends[-1] : ends[-1] + len(more)] = more
+                    ends = np.concatenate([ends, stops])
+                at = np.fromiter(map(ids.__getitem__, chain.from_iterable(rows)), np.int64)
+                counts = ends[at + 1] - ends[at]
+                pieces = flat[np.repeat(ends[at] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())]
+                places = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum([len(r) for r in rows])])]
+                columns = [batch.column(1 + k).slice(a, b - a) for k in range(len(keep))]
+                columns += [pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(pieces)), pa.array(np.diff(places).astype(np.int64))]
+                if check:
+                    columns.append(pa.array([hashlib.sha256(vocabulary.decode(pieces[i:j].tolist()).encode()).hexdigest() for i, j in zip(places, places[1:], strict=False)], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = StructType([*docs.select(*keep).schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType()), *([StructField("decoded_sha256", StringType())] if check else [])])
+    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(tidied(run), schema)
+
+
+def decode(coded: DataFrame, model: str = DEFAULT_MODEL, keep: list[str] | None = None) -> DataFrame:
+    """The columns of coded (all but ids, or those to keep) with text, decoded from ids. Null ids give null."""
     vocabulary = PieceVocabulary.load(model)
+    keep = [c for c in coded.columns if c != "ids"] if keep is None else keep
 
-    @F.pandas_udf("string")
-    def text(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda r: None if r is None else vocabulary.decode(r.tolist()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if x.as_py() is None else vocabulary.decode(x.as_py()) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], [*keep, "text"])
 
-    return text(ids)
+    return coded.select(F.col("ids").alias("_ids"), *keep).mapInArrow(tidied(run), StructType([*coded.select(*keep).schema.fields, StructField("text", StringType())]))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import chat_format, graph_search, line_dedup, mixing, ngram_join, phrase_fingerprint, piece_coding, substring_dedup, toxicity, warc_bundles
-from .common import shared_dir, written
+from .common import shared_dir, small_batches, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,8 +24,7 @@ def op2_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = piece_coding.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return coded.select("doc_id", "n_tokens", "ids", F.sha2(piece_coding.decoded(F.col("ids")), 256).alias("decoded_sha256"))
+    return piece_coding.encode(_table(spark, sf_dir, "documents"), keep=["doc_id"], check=True)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
