@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidied
+
 
 @dataclass(frozen=True)
 class ChatTemplate:
@@ -102,4 +104,4 @@ def read_back(formatted: DataFrame, template: ChatTemplate = ChatTemplate()) ->
 
     lost = F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: s["text"])
     rows = formatted.select(F.col("conv_id").cast("long"), "formatted", lost.alias("lost"), "valid")
-    return rows.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
+    return rows.mapInArrow(tidied(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")

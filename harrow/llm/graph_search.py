@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidied
+
 SHARD_ROWS, BLOCK_QUERIES = 8192, 512
 DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 64, 128, 1.2
 
@@ -193,6 +195,6 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARC
                 best = np.arange(len(q)) - heads[q] < k
                 yield pa.RecordBatch.from_arrays([pa.array(own[q[best]]), pa.array(vec[best]), pa.array(score[best])], ["query_id", "vec_id", "score"])
 
-    found = work.select("queries", "n", "start", "vectors", "edges", "id_ends", "ids").mapInArrow(run, "query_id long, vec_id long, score double")
+    found = work.select("queries", "n", "start", "vectors", "edges", "id_ends", "ids").mapInArrow(tidied(run), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

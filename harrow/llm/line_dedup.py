@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, maybe_in, mix, powers, shared_dir, slices, string_bytes, written
+from .common import bit_filter, maybe_in, mix, powers, shared_dir, slices, string_bytes, tidied, written
 
 #: Lines that the rolling hash spans, one in how many lines ends a chunk, and the most lines of a chunk.
 SPAN, ONE_IN, MOST_LINES = 2, 4, 32
@@ -90,7 +90,7 @@ def chunks(docs: DataFrame, with_text: bool) -> DataFrame:
                     columns = [batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64))]
                     yield pa.RecordBatch.from_arrays([*columns, *([pa.array(texts, pa.string())] if with_text else [])], ["doc_id", "at", "hash", *(["chunk"] if with_text else [])])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, at int, hash long" + (", chunk string" if with_text else ""))
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), "doc_id long, at int, hash long" + (", chunk string" if with_text else ""))
 
 
 def repeated_chunks(docs: DataFrame, folder: str) -> DataFrame:

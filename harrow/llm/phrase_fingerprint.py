@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, powers
+from .common import mix, powers, tidied
 
 #: Hashes kept of a text, of 48 bits each.
 KEPT = 96
@@ -169,7 +169,7 @@ def compare_edits(docs: DataFrame, kept: int = KEPT) -> DataFrame:
             edit = smallest(np.concatenate([hashes[:k], phrase_hashes(changed, start, phrase_ends(changed, start, seen))]), kept)
         return doc_id, n, hashlib.sha256(changed.encode()).hexdigest(), signature_string(own), signature_string(edit), likeness(own, edit, kept), likeness(own, other, kept)
 
-    return ordered.select("doc_id", "text", "guest").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.select("doc_id", "text", "guest").mapInArrow(tidied(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def fingerprints(docs: DataFrame, kept: int = KEPT) -> DataFrame:
@@ -179,4 +179,4 @@ def fingerprints(docs: DataFrame, kept: int = KEPT) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signature_string(signature(t.as_py() or "", kept)) for t in batch.column(1)], pa.string())], ["doc_id", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), "doc_id long, fingerprint string")

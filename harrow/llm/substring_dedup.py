@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, row_of, shared_dir, slices, string_bytes, within_rows, word_hashes, words_of, written
+from .common import gram_hashes, row_of, shared_dir, slices, string_bytes, tidied, within_rows, word_hashes, words_of, written
 
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, window: int = 13, gram: int = 6) -> DataFrame:
                 new[1:] = (fps[1:] != fps[:-1]) | (rows[1:] != rows[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(fps[new].view(np.int64)), pa.array(ids[a:b][rows[new]])], ["fp", "doc_id"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL").mapInArrow(run, "fp long, doc_id long")
+    return docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL").mapInArrow(tidied(run), "fp long, doc_id long")
 
 
 class FingerprintIndex:
@@ -154,7 +154,7 @@ def _suspect_windows(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     [pa.array(w.view(np.int64)), pa.array(c.astype(np.int32)), pa.array(ids[a:b][rows]), pa.array((hit - counts[rows]).astype(np.int32))], ["w", "c", "doc_id", "at"]
                 )
 
-    return docs.select("doc_id", "text", "fps").mapInArrow(run, "w long, c int, doc_id long, at int")
+    return docs.select("doc_id", "text", "fps").mapInArrow(tidied(run), "w long, c int, doc_id long, at int")
 
 
 def _kept(docs: DataFrame, window: int) -> DataFrame:
@@ -179,7 +179,7 @@ def _kept(docs: DataFrame, window: int) -> DataFrame:
                 kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return docs.select("doc_id", "text", "starts", "copy").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return docs.select("doc_id", "text", "starts", "copy").mapInArrow(tidied(run), "doc_id long, n_words long, n_removed long, kept string")
 
 
 def remove_repeats(docs: DataFrame, shared: DataFrame, window: int = 13, gram: int = 6) -> DataFrame:

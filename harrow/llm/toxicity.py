@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, written
+from .common import shared_dir, tidied, written
 
 #: The most labelled rows that terms and the classifier are fitted on, and the most terms kept.
 SAMPLE_ROWS, MOST_TERMS = 16_384, 4096
@@ -30,6 +30,7 @@ SEEDS = frozenset("asshole bastard bitch clown disgusting dumb fool idiot imbeci
 WORD = re.compile(r"[^\W\d_]+")
 LONG_RUN = re.compile(r"(\w)\1{3}")
 STARTS = (4, 5, 6)
+ANY = "any*"
 TOXIC, CLEAN, NOTHING = 0, 1, 2
 
 
@@ -39,6 +40,12 @@ def terms_of(text: str) -> set[str]:
     return words | {f"{w[:k]}*" for w in words for k in STARTS if len(w) >= k}
 
 
+def active(terms: set[str], known: dict) -> set[str]:
+    """A text's known terms, and ANY if it has some: what a rare term's own weight couldn't be learned from, the common one tells."""
+    found = terms & known.keys()
+    return found | {ANY} if found else found
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a row is kept from training: crc32 of its id as text is divisible by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -165,7 +172,7 @@ class ToxicityModel:
 
     def score(self, text: str) -> float:
         """P(toxic); the empty text gets the bias alone."""
-        z = self.bias + sum(self.terms[t] for t in terms_of(text) & self.terms.keys())
+        z = self.bias + sum(self.terms[t] for t in active(terms_of(text), self.terms))
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -186,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
         names = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[x] for x in names], pa.int64()) for c in counts)], ["term", "clean", "toxic"])
 
-    found = chosen.select("text", "toxic").mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    found = chosen.select("text", "toxic").mapInArrow(tidied(count), "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     found = written(found, shared_dir(docs.sparkSession), "terms")
     share = sample.agg(F.avg("toxic")).first()[0] or 0.5
     # By how much a term's counts are likelier for a mark than for any word; of so many words that none is a mark, about seven reach the bound by chance.
@@ -201,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sorted(number[x] for x in terms_of(t.as_py()) & number.keys()) for t in batch.column(0)], pa.list_(pa.int32()))], ["at"])
 
-    toxic_rows = [r["at"] for r in chosen.filter("toxic = 1").select("text").mapInArrow(marked, "at array<int>").collect()]
+    toxic_rows = [r["at"] for r in chosen.filter("toxic = 1").select("text").mapInArrow(tidied(marked), "at array<int>").collect()]
     terms = sorted({names[k] for k in cover(toxic_rows, np.array([clean[x] for x in names], float))} | SEEDS)
     voters = Voters(frozenset(terms))
 
@@ -212,22 +219,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
         if counts:
             yield pa.RecordBatch.from_arrays([pa.array([list(p) for p in counts], pa.list_(pa.int32())), pa.array(list(counts.values()), pa.int64())], ["pattern", "n"])
 
-    votes = texts.filter(~held_out(F.col("doc_id"))).select("text").mapInArrow(vote, "pattern array<int>, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
+    votes = texts.filter(~held_out(F.col("doc_id"))).select("text").mapInArrow(tidied(vote), "pattern array<int>, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     patterns = np.array([r["pattern"] for r in votes], np.int64).reshape(len(votes), len(voters.names))
     label_model = fit_label_model(patterns, np.array([r["n"] for r in votes], float))
-    own_number = {t: k for k, t in enumerate(terms)}
+    own_number = {t: k for k, t in enumerate([*terms, ANY])}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(t.as_py(), terms_of(t.as_py())) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(own_number[x] for x in own & own_number.keys()) for _, own in rows], pa.list_(pa.int32())), pa.array([list(voters.votes(*r)) for r in rows], pa.list_(pa.int32()))], ["at", "pattern"])
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(own_number[x] for x in active(own, own_number)) for _, own in rows], pa.list_(pa.int32())), pa.array([list(voters.votes(*r)) for r in rows], pa.list_(pa.int32()))], ["at", "pattern"])
 
-    rows = chosen.select("text").mapInArrow(features, "at array<int>, pattern array<int>").collect()
+    rows = chosen.select("text").mapInArrow(tidied(features), "at array<int>, pattern array<int>").collect()
     targets = label_model.posterior(np.array([r["pattern"] for r in rows], np.int64).reshape(len(rows), len(voters.names)))
-    weights, bias = fit_linear([np.array(r["at"], np.int64) for r in rows], targets, len(terms))
+    weights, bias = fit_linear([np.array(r["at"], np.int64) for r in rows], targets, len(own_number))
     if not len(rows):
-        weights = np.array([4.0 if t in SEEDS else 0.0 for t in terms])
-    return ToxicityModel({t: float(w) for t, w in zip(terms, weights, strict=True) if w}, bias, voters, label_model)
+        weights = np.array([4.0 if t == ANY else 0.0 for t in own_number])
+    return ToxicityModel({t: float(w) for t, w in zip(own_number, weights, strict=True)}, bias, voters, label_model)
 
 
 def score_of(text: Column, model: ToxicityModel) -> Column:

@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidied
+
 #: Fixed values of the seekable format and of WARC 1.1.
 SKIPPABLE_MAGIC, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -146,7 +148,7 @@ def bundles(pages: DataFrame, least_bytes: int = 0, date: str = "2024-01-01T00:0
             yield close()
 
     schema = pa.schema([("bundle", pa.string()), ("data", pa.binary()), ("records", pa.list_(pa.struct([("record_id", pa.int64()), ("frame", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())])))])
-    return with_references(pages, least_bytes).mapInArrow(run, SCHEMA)
+    return with_references(pages, least_bytes).mapInArrow(tidied(run), SCHEMA)
 
 
 def index(bundled: DataFrame) -> DataFrame:
@@ -178,7 +180,7 @@ def read(bundled: DataFrame) -> DataFrame:
                         rows.append((page_of(fields["WARC-Record-ID"]), n, digest, fields["WARC-Type"], refers and page_of(refers), fields.get("WARC-Target-URI")))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return bundled.select("data").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
+    return bundled.select("data").mapInArrow(tidied(run), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
 
 
 def fetch(bundled: DataFrame, wanted: DataFrame) -> DataFrame:
