@@ -37,7 +37,7 @@ def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar_groups(_table(spark, sf_dir, "documents"))
+    return ngram_join.similar_groups(_table(spark, sf_dir, "documents")).drop("n_links")
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,5 +65,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op3_piece_coding, op4_mixing, op5_warc_bundles, op6_ngram_join, op7_chat_format, op8_line_dedup, op9_toxicity, op10_graph_search)}
 
 
+WORDS = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
+
+OP1_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+firsts AS (SELECT k, min(doc_id) AS low FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN firsts USING (k) WHERE low < doc_id),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) a WHERE NOT EXISTS (FROM gone g WHERE g.doc_id = a.doc_id AND g.p = a.p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
+OP6_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g FROM d),
+x AS (SELECT doc_id, unnest(g) AS k, len(g) AS n FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, a AS b FROM edges UNION SELECT r.a, l.b FROM reach r JOIN edges l ON r.b = l.a)
+SELECT doc_id, len(g) AS n_shingles, coalesce(c, doc_id) AS component_id FROM s LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) USING (doc_id)"""
+
+OP7_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+p AS (SELECT *, coalesce(lag(role) OVER w, '') AS before, row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS last FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256, coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(23 + 2 * length(role || text) - length(regexp_replace(role || text, '[\\\\<\\[]', '', 'g')))::BIGINT AS formatted_chars,
+  bool_and((before, role) IN (('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user'))) AND NOT bool_or(last AND role NOT IN ('user', 'assistant')) AS valid
+FROM p GROUP BY conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_substring_dedup": OP1_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL}
