@@ -21,7 +21,7 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 #: Rows of a batch that a task hands to Python at once; Spark's default of 10 000 long texts takes much memory on either side.
-BATCH_ROWS = 2000
+BATCH_ROWS = 500
 #: 64-bit words of a bit filter (4 MB).
 FILTER_WORDS = 1 << 19
 

@@ -22,7 +22,7 @@ from .components import connected_components
 #: N-grams in more prefixes than this are frequent; the most of them that are sent to every task (16 MB).
 FREQUENT, MOST_SENT = 12, 2_000_000
 #: Rows of one n-gram that are compared with each other in one go: larger groups are cut into blocks, each pair of which is a group of its own.
-BLOCK_ROWS = 1024
+BLOCK_ROWS, CROWD = 1024, 64
 #: Parts that the suffix filter divides a set into by hash.
 PARTS = 64
 
@@ -143,13 +143,18 @@ def _texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
 
 
 def _open_pairs(rows: DataFrame, digests: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), a < b, of rows (gram, doc_id, size, at, component, earlier) that share an n-gram, stand in different components and pass all filters.
+    """Pairs (a, b), a < b, of rows (gram, doc_id, size, at, component) that share an n-gram, stand in different components and pass all filters.
 
-    earlier: the document's shared n-grams before this one. A pair comes from the first n-gram that both have, so once. The rows of an
-    n-gram are dealt over blocks by doc_id, and every two blocks are compared as a group of 2 * BLOCK_ROWS rows or so, however many rows there are.
+    The rows of an n-gram are dealt over blocks by doc_id, and every two blocks are compared as a group of 2 * BLOCK_ROWS rows or so,
+    however many rows there are. Of the n-grams with more than CROWD rows, a pair comes from the first that both have, so once.
     """
-    counts = rows.groupBy("gram").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    own = rows.join(digests.select("doc_id", "parts"), "doc_id").join(counts, "gram").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    counts = rows.groupBy("gram").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    counted = rows.join(counts, "gram")
+    crowd = counted.filter(F.col("n") > CROWD)
+    orders = crowd.groupBy("doc_id").agg(F.collect_list(F.struct("at", "gram")).alias("order"))
+    crowd = crowd.join(orders, "doc_id").withColumn("earlier", F.transform(F.filter("order", lambda x: x["at"] < F.col("at")), lambda x: x["gram"])).drop("order")
+    few = counted.filter(F.col("n") <= CROWD).withColumn("earlier", F.array().cast("array<long>"))
+    own = few.unionByName(crowd).join(digests.select("doc_id", "parts"), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     groups = dealt.groupBy("gram", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(F.collect_list(F.struct("doc_id", "component", "size", "at", "block", "parts", "earlier")).alias("rows"))
 
@@ -170,7 +175,7 @@ def _open_pairs(rows: DataFrame, digests: DataFrame, percent: int) -> DataFrame:
                     return known[k]
 
                 # A small group's pairs are looked at all at once, a large one's row by row: memory stays in proportion to the group.
-                sweeps = [np.triu_indices(n, 1)] if n <= 64 else ((np.full(n - r - 1, r), np.arange(r + 1, n)) for r in range(n - 1))
+                sweeps = [np.triu_indices(n, 1)] if n <= CROWD else ((np.full(n - r - 1, r), np.arange(r + 1, n)) for r in range(n - 1))
                 for p, q in sweeps:
                     ok = component[p] != component[q]
                     if i != j:
@@ -283,9 +288,7 @@ def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     placed = prefixes.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     placed = written(placed, folder, "placed")
     mixed = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
-    orders = placed.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "gram"))).alias("order"))
-    open_rows = placed.join(mixed, "gram", "left_semi").join(orders, "doc_id")
-    open_rows = open_rows.withColumn("earlier", F.transform(F.filter("order", lambda x: x["at"] < F.col("at")), lambda x: x["gram"])).drop("order")
+    open_rows = written(placed.join(mixed, "gram", "left_semi"), folder, "open_rows")
     rest = written(_open_pairs(open_rows, digests, percent).distinct(), folder, "met2").join(first_pairs, ["a", "b"], "left_anti")
     rest = written(rest, folder, "open2")
     more = _verified(rest, docs, folder, "links2", n, percent)

@@ -25,6 +25,8 @@ from .common import shared_dir, tidied, written
 
 #: The most labelled rows that terms and the classifier are fitted on, and the most terms kept.
 SAMPLE_ROWS, MOST_TERMS = 16_384, 4096
+#: Terms that a task counts before it passes the counts on.
+MOST_COUNTED = 100_000
 #: Word lists: fixed values.
 SEEDS = frozenset("asshole bastard bitch clown disgusting dumb fool idiot imbecile jerk loser moron pathetic scum stupid trash ugly vermin worthless".split())
 WORD = re.compile(r"[^\W\d_]+")
@@ -187,11 +189,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def told() -> pa.RecordBatch:
+            names = list(counts[0].keys() | counts[1].keys())
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[x] for x in names], pa.int64()) for c in counts)], ["term", "clean", "toxic"])
+            for c in counts:
+                c.clear()
+            return out
+
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1), strict=True):
                 counts[toxic.as_py()].update(terms_of(text.as_py()))
-        names = list(counts[0].keys() | counts[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[x] for x in names], pa.int64()) for c in counts)], ["term", "clean", "toxic"])
+                if len(counts[0]) > MOST_COUNTED:  # sums of parts are sums all the same
+                    yield told()
+        yield told()
 
     found = chosen.select("text", "toxic").mapInArrow(tidied(count), "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     found = written(found, shared_dir(docs.sparkSession), "terms")
