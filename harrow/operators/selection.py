@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Turns whose counts are summed up together.
+TURNS = 10_000
+
+
 @dataclass(frozen=True)
 class Quotas:
     """Most per category, neighbourhood and venue, and how many cheap, timeless and seasonal ones there must be."""
@@ -93,14 +97,17 @@ def top_per_group(rows: DataFrame, group: list[str], order: list[Column], most:
 def round_robin(rows: DataFrame, key: list[str], order: str, size: int) -> DataFrame:
     """rows with turn (their place in their key's queue), and batch: queues take turns, in the order of their first rows, and every `size` rows are a batch.
 
-    The place over all rows is a count of rows of earlier turns, and of earlier queues in the same turn: counts by turn are
-    few, so no window spans all rows.
+    The place over all rows is a count of rows of earlier turns, and of earlier queues in the same turn. Counts by turn are summed up in
+    parts of TURNS turns, so the only window over everything has one row for each part.
     """
     turn = F.row_number().over(Window.partitionBy(*key).orderBy(order))
     first = F.min(order).over(Window.partitionBy(*key))
     placed = rows.withColumns({"turn": turn, "_first": first})
-    per_turn = placed.groupBy("turn").count()
-    before = F.sum("count").over(Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1))
-    starts = per_turn.select("turn", F.coalesce(before, F.lit(0)).alias("_before"))
+    per_turn = placed.groupBy("turn").count().withColumn("_part", F.floor(F.col("turn") / TURNS))
+    per_part = per_turn.groupBy("_part").agg(F.sum("count").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = per_part.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_part").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_turn.join(per_part, "_part").select("turn", (F.col("_start") + F.coalesce(F.sum("count").over(within), F.lit(0))).alias("_before"))
     seat = F.row_number().over(Window.partitionBy("turn").orderBy("_first", *key))
     return placed.withColumn("_seat", seat).join(starts, "turn").withColumn("batch", F.floor((F.col("_before") + F.col("_seat") - 1) / size)).drop("_first", "_seat", "_before")
