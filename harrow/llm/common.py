@@ -9,9 +9,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task hashes at once; numpy needs about forty times as much for it.
@@ -129,26 +128,19 @@ def row_of(counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(counts) - 1), np.diff(counts))
 
 
-def bit_filter(keys: DataFrame, key: str) -> np.ndarray:
-    """A table of fixed size with one bit set for each key's hash: keys that aren't there mostly find their bit unset. However many keys
-    there are, the driver gets FILTER_WORDS words at most; with very many all bits are set and nothing is filtered."""
+def bit_filter(keys: DataFrame, key: str) -> DataFrame:
+    """(word, bits): a bit set for each key's hash, in FILTER_WORDS words of 64 bits at most. Keys that aren't there mostly find their bit
+    unset. However many keys there are, the table has no more rows; with very many all bits are set and nothing is filtered."""
     bit = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
-    rows = keys.select(bit.alias("b")).groupBy(F.expr("b div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits")).toPandas()
-    table = np.zeros(FILTER_WORDS, np.int64)
-    table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return table
+    return keys.select(bit.alias("b")).groupBy(F.expr("b div 64").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("_bits"))
 
 
-def maybe_in(session: SparkSession, table: np.ndarray, key: Column) -> Column:
-    """Whether a key's bit is set; only the bit's number goes to Python."""
-    sent = session.sparkContext.broadcast(table)
-
-    @F.pandas_udf("boolean")
-    def maybe(bits: pd.Series) -> pd.Series:
-        at = bits.to_numpy(np.int64)
-        return pd.Series((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
-
-    return maybe(F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS)))
+def with_maybe(rows: DataFrame, table: DataFrame, key: str, name: str) -> DataFrame:
+    """rows with a boolean: whether the key's bit is set in a bit_filter(). That table is broadcast: its size has a fixed bound."""
+    bit = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
+    placed = rows.withColumns({"_word": F.floor(bit / 64), "_at": (bit % 64).cast("int")})
+    hit = F.coalesce(F.expr("shiftright(_bits, _at) & 1L") == 1, F.lit(False))
+    return placed.join(F.broadcast(table), "_word", "left").withColumn(name, hit).drop("_word", "_at", "_bits")
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, maybe_in, mix, powers, shared_dir, slices, string_bytes, tidied, written
+from .common import bit_filter, mix, powers, shared_dir, slices, string_bytes, tidied, with_maybe, written
 
 #: Lines that the rolling hash spans, one in how many lines ends a chunk, and the most lines of a chunk.
 SPAN, ONE_IN, MOST_LINES = 2, 4, 32
@@ -100,7 +100,7 @@ def repeated_chunks(docs: DataFrame, folder: str) -> DataFrame:
     """
     place = F.struct("doc_id", "at")
     groups = written(chunks(docs, False).groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash"), folder, "hashes")
-    likely = chunks(docs, True).filter(maybe_in(docs.sparkSession, bit_filter(groups, "hash"), F.col("hash")))
+    likely = with_maybe(chunks(docs, True), bit_filter(groups, "hash"), "hash", "maybe").filter("maybe").drop("maybe")
     suspects = written(likely.join(groups, "hash", "left_semi"), folder, "suspects")
     firsts = suspects.groupBy("hash", "chunk").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash", "chunk", "low")
     return suspects.join(firsts, ["hash", "chunk"]).filter(place > F.col("low")).select("doc_id", "at")
@@ -117,7 +117,6 @@ def remove_repeats(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
     own = docs.withColumn("_id", F.col("doc_id").cast("long"))
     gone = repeated_chunks(own.filter("_id IS NOT NULL").select(F.col("_id").alias("doc_id"), "text"), folder).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("at").alias("_gone"))
     gone = written(gone, folder, "gone")
-    hit = maybe_in(docs.sparkSession, bit_filter(gone, "_id"), F.coalesce("_id", F.lit(0)))
 
     @F.udf("string", useArrow=True)
     def without(text, gone):
@@ -132,7 +131,7 @@ def remove_repeats(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
         return b"".join(keep).decode()
 
     # Documents that lose nothing are neither shuffled nor sent to Python.
-    marked = own.withColumn("_hit", hit)
+    marked = with_maybe(own, bit_filter(gone, "_id"), "_id", "_hit")
     joined = marked.filter("_hit").join(gone, "_id", "left").withColumn("_cut", without(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
     joined = joined.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut"))).drop("_gone", "_cut")
     rows = joined.unionByName(marked.filter("NOT _hit").withColumn("_text", F.col("text")))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, gram_hashes, maybe_in, mix, row_of, shared_dir, slices, string_bytes, tidied, within_rows, word_hashes, words_of, written
+from .common import bit_filter, gram_hashes, mix, row_of, shared_dir, slices, string_bytes, tidied, within_rows, word_hashes, words_of, with_maybe, written
 from .components import connected_components
 
 #: N-grams in more prefixes than this are frequent; the most of them that are sent to every task (16 MB).
@@ -139,7 +139,7 @@ def _suffixes_fit(pairs: DataFrame, digests: DataFrame, percent: int) -> DataFra
 
 def _texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """The docs whose doc_id is in needed. A bit filter of all needed ids drops most others before the texts are shuffled; the join decides."""
-    return docs.filter(maybe_in(docs.sparkSession, bit_filter(needed, "doc_id"), F.col("doc_id"))).join(needed, "doc_id", "left_semi")
+    return with_maybe(docs, bit_filter(needed, "doc_id"), "doc_id", "_maybe").filter("_maybe").drop("_maybe").join(needed, "doc_id", "left_semi")
 
 
 def _open_pairs(rows: DataFrame, digests: DataFrame, percent: int) -> DataFrame:
