@@ -2,7 +2,8 @@
 
 A text's lines are hashed; where a rolling hash over the last few line hashes meets a condition, a chunk ends. So equal
 passages are cut alike wherever they stand. Chunks of at least two lines that occur before (in a smaller doc_id, or
-earlier in the text) are removed, after their bytes were compared.
+earlier in the text) are removed, after their bytes were compared. That finds a passage only where chunks happen to fall
+inside it, so remove_passages() takes every two lines that follow each other instead and misses none.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, mix, powers, shared_dir, slices, string_bytes, tidied, with_maybe, written
+from .common import IS_SPACE, bit_filter, mix, powers, shared_dir, slices, string_bytes, tidied, with_maybe, written
 
 #: Lines that the rolling hash spans, one in how many lines ends a chunk, and the most lines of a chunk.
 SPAN, ONE_IN, MOST_LINES = 2, 4, 32
 _BASE = np.uint64(0xD6E8FEB86659FD93)
+_SPACES = " \t\n\v\f\r"
 
 
 def line_ends(data: np.ndarray) -> np.ndarray:
@@ -137,3 +139,94 @@ def remove_repeats(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
     rows = joined.unionByName(marked.filter("NOT _hit").withColumn("_text", F.col("text")))
     gone_bytes = (F.coalesce(F.octet_length("text"), F.lit(0)) - F.coalesce(F.octet_length("_text"), F.lit(0))).cast("long")
     return rows.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != removed], gone_bytes.alias(removed))
+
+
+def line_pairs(docs: DataFrame, with_text: bool) -> DataFrame:
+    """(doc_id, copy, at, hash) of each two lines with words that follow each other, and their bytes if asked for; at: the number of the first in its text.
+
+    Blank lines aren't counted but belong to the pair that they stand in. A last line without a line feed equals one with it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = string_bytes(batch.column(2))
+            for a, b in slices(offsets):
+                own, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                if not len(own):
+                    continue
+                open_end = (np.diff(bounds) > 0) & (own[bounds[1:] - 1] != 10)
+                own = np.insert(own, bounds[1:][open_end], 10)
+                bounds = bounds + np.concatenate([[0], np.cumsum(open_end)])
+                ends = np.flatnonzero(own == 10) + 1
+                starts = np.concatenate([[0], ends[:-1]])
+                rows = np.searchsorted(bounds[1:], starts, "right")
+                places = np.arange(len(ends)) - np.searchsorted(starts, bounds[:-1])[rows]
+                filled = np.flatnonzero(np.add.reduceat(~IS_SPACE[own], starts, dtype=np.int64))
+                one, two = filled[:-1], filled[1:]
+                same = rows[one] == rows[two]
+                one, two = one[same], two[same]
+                if not len(one):
+                    continue
+                with np.errstate(over="ignore"):
+                    hashes = _hashes(own, ends)
+                    hashes = mix(hashes[one] * _BASE + hashes[two])
+                at = pa.array(rows[one] + a)
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(places[one].astype(np.int32)), pa.array(hashes.view(np.int64))]
+                if with_text:
+                    raw = own.tobytes()
+                    columns.append(pa.array([raw[i:j] for i, j in zip(starts[one].tolist(), ends[two].tolist(), strict=True)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", "at", "hash", *(["pair"] if with_text else [])])
+
+    return docs.select("doc_id", "copy", "text").mapInArrow(tidied(run), "doc_id long, copy long, at int, hash long" + (", pair binary" if with_text else ""))
+
+
+def repeated_pairs(docs: DataFrame, folder: str) -> DataFrame:
+    """(doc_id, copy, at) of every line pair whose bytes stand in an earlier text, or wholly before it in its own.
+
+    As in repeated_chunks(), only hashes are gathered at first. Texts are ordered by doc_id, those of one doc_id by their hash.
+    """
+    place = F.struct("doc_id", "copy", "at")
+    groups = written(line_pairs(docs, False).groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash"), folder, "hashes")
+    likely = with_maybe(line_pairs(docs, True), bit_filter(groups, "hash"), "hash", "maybe").filter("maybe").drop("maybe")
+    suspects = written(likely.join(groups, "hash", "left_semi"), folder, "suspects")
+    firsts = suspects.groupBy("hash", "pair").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash", "pair", "low")
+    other = (F.col("doc_id") != F.col("low.doc_id")) | (F.col("copy") != F.col("low.copy"))
+    # Pairs of one text may overlap ("a a a"): the first one's own lines aren't its copies.
+    return suspects.join(firsts, ["hash", "pair"]).filter(other | (F.col("at") > F.col("low.at") + 1)).select("doc_id", "copy", "at")
+
+
+def remove_passages(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
+    """docs as remove_repeats() gives them, but without every passage of two lines or more that stands before, whatever surrounds it.
+
+    Each removed line is still there, in the kept text of an earlier place. Rows of equal doc_id and text are treated as one
+    document's; those of equal doc_id and other texts as different documents.
+    """
+    folder = shared_dir(docs.sparkSession)
+    own = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_copy": F.xxhash64("text")})
+    gone = repeated_pairs(own.filter("_id IS NOT NULL").select(F.col("_id").alias("doc_id"), F.col("_copy").alias("copy"), "text"), folder)
+    gone = written(gone.groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).agg(F.collect_set("at").alias("_gone")), folder, "gone")
+
+    @F.udf("string", useArrow=True)
+    def without(text, gone):
+        if text is None:
+            return None
+        lines, starts, out, last = text.split("\n"), set(gone), [], False
+        lines = [x + "\n" for x in lines[:-1]] + lines[-1:]
+        for i, line in enumerate(lines):
+            if i in starts:
+                last = True
+                continue
+            if last and not any(b not in _SPACES for b in line):
+                continue  # a blank line inside a pair
+            if not last:
+                out.append(line)
+            last = False
+        return "".join(out)
+
+    # Documents that lose nothing are neither shuffled nor sent to Python.
+    marked = with_maybe(own, bit_filter(gone, "_id"), "_id", "_hit")
+    joined = marked.filter("_hit").join(gone, ["_id", "_copy"], "left").withColumn("_cut", without(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
+    joined = joined.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut"))).drop("_gone", "_cut")
+    rows = joined.unionByName(marked.filter("NOT _hit").withColumn("_text", F.col("text")))
+    gone_bytes = (F.coalesce(F.octet_length("text"), F.lit(0)) - F.coalesce(F.octet_length("_text"), F.lit(0))).cast("long")
+    return rows.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != removed], gone_bytes.alias(removed))

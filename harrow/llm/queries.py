@@ -48,7 +48,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.remove_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
