@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from harrow.functions import identity as I
 from harrow.functions import text as T
 from harrow.functions import values as V
-from harrow.operators import changes, extract, verify
+from harrow.operators import changes, extract, matching, verify
 from harrow.plans import sql as Q
 from harrow.plans.tables import table
 from harrow.sources import readers
@@ -96,12 +96,15 @@ _SEM = f"sha256({Q.norm('left(text, 40)')} || '2024-01-01' || '' || 'free' || {Q
 
 
 def title_trigram_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Alike titles among those that begin alike: blocks of one language and the first eight folded characters."""
-    rows = table(spark, d, "documents").select("doc_id", "lang", F.substring("text", 1, 40).alias("t")).withColumns({"k": F.substring(T.norm("t"), 1, 8), "g": T.trigrams("t")})
-    a, b = rows.alias("a"), rows.alias("b")
-    met = a.join(b, (F.col("a.lang") == F.col("b.lang")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.doc_id") < F.col("b.doc_id")))
-    likeness = T.jaccard(F.col("a.g"), F.col("b.g"))
-    return met.filter(likeness >= 0.82).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"), F.round(likeness, 6).alias("likeness"))
+    """Alike titles of one language, every pair however they begin. The SQL compares only those that begin alike, so it may have fewer pairs."""
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("ord"), "lang", F.substring("text", 1, 40).alias("title"))
+    return matching.all_alike_titles(rows, "lang").withColumn("likeness", F.round("likeness", 6))
+
+
+def title_alike_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """As title_trigram_pairs, but copies are paired with the first of them only."""
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("ord"), "lang", F.substring("text", 1, 40).alias("title"))
+    return matching.alike_titles(rows, "lang").withColumn("likeness", F.round("likeness", 6))
 
 
 def benchmark_ngram_overlap(spark: SparkSession, d: str) -> DataFrame:
@@ -173,6 +176,7 @@ QUERIES = {
     "doc_bytes_hash_dups": (doc_bytes_hash_dups, "SELECT sha256(text) AS digest, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY 1 HAVING count(*) > 1"),
     "doc_semantic_hash_dups": (doc_semantic_hash_dups, f"SELECT {_SEM} AS digest, count(*) AS n, min(doc_id) AS first, sha256('screen|screen-v1|m1|' || {_SEM}) AS job FROM documents GROUP BY 1, 4"),
     "title_trigram_pairs": (title_trigram_pairs, f"WITH r AS (SELECT doc_id, lang, left({Q.norm('left(text, 40)')}, 8) AS k, {Q.trigrams('left(text, 40)')} AS g FROM documents), p AS (SELECT a.doc_id AS a, b.doc_id AS b, len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) AS s FROM r a JOIN r b ON a.lang = b.lang AND a.k = b.k AND a.doc_id < b.doc_id) SELECT a, b, round(s, 6) AS likeness FROM p WHERE s >= 0.82"),
+    "title_alike_pairs": (title_alike_pairs, f"WITH r AS (SELECT doc_id, lang, list_sort({Q.trigrams('left(text, 40)')}) AS g FROM documents), s AS (SELECT lang, g, min(doc_id) AS low FROM r GROUP BY lang, g), p AS (SELECT a.low AS a, b.low AS b, len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) AS s FROM s a JOIN s b ON a.lang = b.lang AND a.low < b.low) SELECT a, b, round(s, 6) AS likeness FROM p WHERE s >= 0.82 UNION ALL SELECT low, doc_id, 1.0::DOUBLE FROM r JOIN s USING (lang, g) WHERE doc_id > low"),
     "benchmark_ngram_overlap": (benchmark_ngram_overlap, f"WITH d AS (SELECT doc_id AS id, {Q.words('text')} AS w FROM documents), a AS (SELECT DISTINCT id, array_to_string(list_slice(w, i, i + 7), ' ') AS g FROM (SELECT id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)), e AS (SELECT item_id AS source_id, {Q.words('text')} AS w FROM benchmark), b AS (SELECT DISTINCT source_id, array_to_string(list_slice(w, i, i + 7), ' ') AS g FROM (SELECT source_id, w, unnest(range(1, len(w) - 6)) AS i FROM e WHERE len(w) >= 8)) SELECT id, source_id, count(*) AS shared FROM a JOIN b USING (g) GROUP BY 1, 2"),
     "fetch_status": (fetch_status, "SELECT ['ok', 'ok', 'unchanged', 'blocked', 'gone', 'gone', 'slow-down', 'retry', 'failed'][page_id % 9 + 1] AS outcome, count(*) AS n FROM pages GROUP BY 1"),
     "robots_allowed": (robots_allowed, f"SELECT page_id FROM pages WHERE NOT starts_with({Q.path('url')}, '/de/')"),
