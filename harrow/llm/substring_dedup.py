@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, row_of, shared_dir, slices, string_bytes, tidied, within_rows, word_hashes, words_of, written
+from .common import bit_filter, gram_hashes, row_of, shared_dir, slices, string_bytes, tidied, with_maybe, within_rows, word_hashes, words_of, written
 
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -127,7 +127,7 @@ class FingerprintIndex:
 
 
 def _suspect_windows(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(w, c, doc_id, at) of each window of docs (doc_id, text, fps) whose fingerprint is in the row's fps."""
+    """(w, c, doc_id, var, at) of each window of docs (doc_id, text, fps, var) whose fingerprint is in the row's fps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,10 +151,11 @@ def _suspect_windows(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 w, c = gram_hashes(words, window, 1)[hit], gram_hashes(words, window, 2)[hit] >> np.uint64(33)
                 rows = rows[hit]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w.view(np.int64)), pa.array(c.astype(np.int32)), pa.array(ids[a:b][rows]), pa.array((hit - counts[rows]).astype(np.int32))], ["w", "c", "doc_id", "at"]
+                    [pa.array(w.view(np.int64)), pa.array(c.astype(np.int32)), pa.array(ids[a:b][rows]), batch.column(3).take(pa.array(rows + a)), pa.array((hit - counts[rows]).astype(np.int32))],
+                    ["w", "c", "doc_id", "var", "at"],
                 )
 
-    return docs.select("doc_id", "text", "fps").mapInArrow(tidied(run), "w long, c int, doc_id long, at int")
+    return docs.select("doc_id", "text", "fps", "var").mapInArrow(tidied(run), "w long, c int, doc_id long, var long, at int")
 
 
 def _kept(docs: DataFrame, window: int) -> DataFrame:
@@ -191,15 +192,21 @@ def remove_repeats(docs: DataFrame, shared: DataFrame, window: int = 13, gram: i
     each judged against smaller ids only; rows without a doc_id are left out; other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    digests = docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest")).filter("digest IS NOT NULL")
-    groups = digests.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     folder = shared_dir(docs.sparkSession)
-    copies = written(digests.join(groups, "digest").filter("doc_id > low").select("doc_id").distinct().withColumn("copy", F.lit(True)), folder, "copies")
-    by_doc = written(shared.groupBy("doc_id").agg(F.collect_set("fp").alias("fps")).join(copies, "doc_id", "left_anti"), folder, "by_doc")
-    windows = _suspect_windows(docs.join(by_doc, "doc_id"), window, gram)
+    # var tells the texts of a doc_id that has several rows apart; it is 0 for all others.
+    several = written(bit_filter(docs.groupBy("doc_id").count().filter("count > 1"), "doc_id"), folder, "several")
+    docs = with_maybe(docs, several, "doc_id", "_maybe").withColumn("var", F.when(F.col("_maybe"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).drop("_maybe")
+    variants = written(docs.filter("var <> 0").select("doc_id", "var").distinct(), folder, "variants")
+    own = ["doc_id", "var"]
+    digests = docs.select(*own, F.unhex(F.sha2("text", 256)).alias("digest")).filter("digest IS NOT NULL")
+    groups = digests.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    copies = written(digests.join(groups, "digest").filter("doc_id > low").select(*own).distinct().withColumn("copy", F.lit(True)), folder, "copies")
+    shared = shared.join(variants, "doc_id", "left").withColumn("var", F.coalesce("var", F.lit(0).cast("long")))
+    by_doc = written(shared.groupBy(*own).agg(F.collect_set("fp").alias("fps")).join(copies, own, "left_anti"), folder, "by_doc")
+    windows = _suspect_windows(docs.join(by_doc, own), window, gram)
     firsts = windows.groupBy("w", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    starts = windows.join(firsts, ["w", "c"]).filter("doc_id > low").groupBy("doc_id").agg(F.collect_list("at").alias("starts"))
-    return _kept(docs.join(starts, "doc_id", "left").join(copies, "doc_id", "left"), window)
+    starts = windows.join(firsts, ["w", "c"]).filter("doc_id > low").groupBy(*own).agg(F.collect_list("at").alias("starts"))
+    return _kept(docs.join(starts, own, "left").join(copies, own, "left"), window)
 
 
 def dedup_table(docs: DataFrame, batches: int = 2, window: int = 13, gram: int = 6) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import random
 
-from harrow.llm import line_dedup
+from harrow.llm import line_dedup, substring_dedup
 
 
 def test_planted_passages(spark):
@@ -28,3 +28,12 @@ def test_passages_edges(spark):
     ones = sorted(t for i, t in got if i == 1)
     assert ones in (sorted(["a a\nb b\nc c"] * 2 + ["d d\n"]), sorted(["c c"] * 2 + ["d d\na a\nb b\n"]))
     assert [x for x in got if x[0] != 1] == [(-1, "a a\nb b\nc c"), (2, "x x\nx x\nx x"), (3, "y y\ny y\n"), (4, "z z\n\nb b\n\nq q"), (5, "r r\n\nb b\n\ns s"), (6, ""), (7, ""), (8, "é é\n\nñ")]
+
+
+def test_substrings_of_one_id(spark):
+    words = lambda x, n: " ".join(f"{x}{i}" for i in range(n))
+    passage, long = words("p", 20), words("l", 60)
+    rows = [(1, words("a", 20)), (2, passage), (3, words("a", 20)), (3, words("c", 30)), (4, long + " " + passage), (4, words("d", 15)), (5, words("c", 30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.kept) for r in substring_dedup.dedup_table(df).collect())
+    assert got == sorted([(1, 20, words("a", 20)), (2, 20, passage), (3, 20, ""), (3, 30, words("c", 30)), (4, 80, long), (4, 15, words("d", 15)), (5, 30, "")])
