@@ -274,9 +274,12 @@ def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     digests = written(set_digests(docs, n, percent), folder, "digests")
     groups = digests.filter("size > 0").groupBy("size", "set1", "set2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     copies = written(digests.join(groups.filter("first < last"), ["size", "set1", "set2"]).filter("doc_id > first").select("doc_id", "first").distinct(), folder, "copies")
+    # A document of several sets may have links by one that is no copy, so it keeps its prefixes.
+    place = F.struct("size", "set1", "set2")
+    several = written(digests.groupBy("doc_id").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("doc_id"), folder, "several")
 
     rows = _prefixes(docs, _frequent(docs, digests, folder, n, percent), n, percent)
-    prefixes = written(_shared_only(rows, copies), folder, "prefixes")
+    prefixes = written(_shared_only(rows, copies.join(several, "doc_id", "left_anti")), folder, "prefixes")
 
     hubs = prefixes.groupBy("gram").agg(F.min(F.struct("doc_id", "size", "at")).alias("hub")).select("gram", "hub.*")
     met = hubs.alias("a").join(prefixes.alias("b"), "gram").filter((F.col("a.doc_id") < F.col("b.doc_id")) & _possible("a", "b", percent))

@@ -2,7 +2,7 @@
 
 import random
 
-from harrow.llm import line_dedup, substring_dedup
+from harrow.llm import line_dedup, ngram_join, substring_dedup
 
 
 def test_planted_passages(spark):
@@ -37,3 +37,10 @@ def test_substrings_of_one_id(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.n_words, r.kept) for r in substring_dedup.dedup_table(df).collect())
     assert got == sorted([(1, 20, words("a", 20)), (2, 20, passage), (3, 20, ""), (3, 30, words("c", 30)), (4, 80, long), (4, 15, words("d", 15)), (5, 30, "")])
+
+
+def test_links_of_one_id(spark):
+    words = lambda x, n: " ".join(f"{x}{i}" for i in range(n))
+    rows = [(1, words("a", 60)), (2, words("b", 60)), (3, words("a", 60)), (3, words("b", 59) + " end"), (4, words("c", 60)), (5, words("a", 60)), (5, words("c", 59) + " end")]
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict.fromkeys(range(1, 6), 1)
