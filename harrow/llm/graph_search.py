@@ -1,14 +1,15 @@
 """Approximate nearest neighbours by inner product, on one robust-pruned directed graph per shard of the vectors.
 
-Largest inner product becomes smallest distance by one more coordinate that gives all vectors of a shard the same
-length. Points enter the graph in growing batches: greedy searches on the graph so far propose neighbours, relaxed
-distance pruning keeps the diverse ones, and each edge is offered to its target. A query's beam search goes
-through every shard; scores are then exact inner products in double precision.
+The graph lies over the vectors' directions. Points enter it in growing batches: greedy searches on the graph so far
+propose neighbours, relaxed distance pruning keeps the diverse ones, and each edge is offered to its target. A query's
+beam search goes through every shard, ordered by inner product, from the best of a few fixed entry points: the longest
+vectors and some others. Directions and lengths are kept apart, so magnitudes may differ as far as doubles can; scores are
+inner products of the original vectors in double precision. Vectors of different dimension have no inner product: each
+dimension has its own shards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -16,26 +17,38 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import tidied
+#: Vectors of a shard, and queries that meet a shard in one task.
+SHARD_ROWS, BLOCK_QUERIES = 16_384, 2048
+DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 64, 160, 1.2
+#: Entry points of a shard (half of them the longest vectors), how many of them a search starts from, and queries searched in step.
+ENTRIES, STARTS, IN_STEP = 512, 32, 256
+#: Dimensions up to this one have shard numbers fitted to their own vectors; all larger ones share theirs. It bounds the table that is broadcast.
+MOST_WIDTHS = 65_536
 
-SHARD_ROWS, BLOCK_QUERIES = 8192, 512
-DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 64, 128, 1.2
 
+def directions(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors in single precision, lengths in double precision relative to the largest component of all). Rows are finite and not zero."""
+    largest = np.abs(vectors).max(1)
+    scaled = vectors / largest[:, None]
+    lengths = np.sqrt((scaled**2).sum(1))
+    return (scaled / lengths[:, None]).astype(np.float32), lengths * (largest / largest.max())
 
-def _beam(points: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Greedy best-first searches of all queries in step: (beam ids, beam distances, opened ids, opened distances).
 
-    points and edges have one row more than there are points: the blank that unused places name. Distances are squared, less the query's own square.
+def _beam(units: np.ndarray, lengths: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries: np.ndarray, width: int, starts: int = STARTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best-first searches of all queries in step, by inner product with units times lengths: (beam ids, beam distances, opened ids).
+
+    units, lengths and edges have one row more than there are points: the blank that unused places name. Distances are negative inner products.
     """
-    blank, b = len(points) - 1, len(queries)
-    squares = np.einsum("nd,nd->n", points, points)
+    blank, b = len(units) - 1, len(queries)
+    starts = min(starts, len(entries), width)
+    first = -(queries @ units[entries].T) * lengths[entries]
+    best = np.argpartition(first, starts - 1, 1)[:, :starts]
+    ids, far, opened = np.full((b, width), blank, np.int32), np.full((b, width), np.inf), np.ones((b, width), bool)
+    ids[:, :starts], far[:, :starts], opened[:, :starts] = entries[best], np.take_along_axis(first, best, 1), False
     seen = np.zeros((b, blank + 1), bool)
-    seen[:, [start, blank]] = True
-    ids = np.full((b, width), blank, np.int32)
-    far = np.full((b, width), np.inf, np.float32)
-    opened = np.ones((b, width), bool)
-    ids[:, 0], far[:, 0], opened[:, 0] = start, squares[start] - 2 * queries @ points[start], False
-    steps_ids, steps_far = [], []
+    seen[:, blank] = True
+    np.put_along_axis(seen, ids[:, :starts], True, 1)
+    steps = []
     while True:
         waiting = np.where(opened, np.inf, far)
         pick = waiting.argmin(1)
@@ -45,21 +58,20 @@ def _beam(points: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray
         pick = pick[rows]
         node = ids[rows, pick]
         opened[rows, pick] = True
-        step_ids, step_far = np.full(b, blank, np.int32), np.full(b, np.inf, np.float32)
-        step_ids[rows], step_far[rows] = node, far[rows, pick]
-        steps_ids.append(step_ids)
-        steps_far.append(step_far)
+        step = np.full(b, blank, np.int32)
+        step[rows] = node
+        steps.append(step)
         near = edges[node]
         fresh = ~seen[rows[:, None], near]
         seen[rows[:, None], near] = True
-        d = squares[near] - 2 * np.matmul(points[near], queries[rows][:, :, None])[:, :, 0]
+        d = -np.matmul(units[near], queries[rows][:, :, None])[:, :, 0] * lengths[near]
         d[~fresh] = np.inf
         all_ids, all_far = np.concatenate([ids[rows], near], 1), np.concatenate([far[rows], d], 1)
         all_opened = np.concatenate([opened[rows], ~fresh], 1)
         best = np.argpartition(all_far, width - 1, 1)[:, :width]
         ids[rows], far[rows], opened[rows] = (np.take_along_axis(x, best, 1) for x in (all_ids, all_far, all_opened))
     order = np.argsort(far, 1, "stable")
-    return np.take_along_axis(ids, order, 1), np.take_along_axis(far, order, 1), np.array(steps_ids).T, np.array(steps_far).T
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(far, order, 1), np.array(steps).T
 
 
 def _prune(points: np.ndarray, own: np.ndarray, near: np.ndarray, degree: int, relax: float) -> np.ndarray:
@@ -85,19 +97,19 @@ def _prune(points: np.ndarray, own: np.ndarray, near: np.ndarray, degree: int, r
     return out
 
 
-def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX, batch: int = 256, seed: int = 7) -> tuple[np.ndarray, int]:
-    """(edges, start): the graph over the rows of vectors; edges has `degree` places a row, unused ones name the row count."""
-    n = len(vectors)
-    points = np.vstack([vectors, np.zeros((1, vectors.shape[1]))]).astype(np.float32)
+def build_graph(units: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX, batch: int = 256, seed: int = 7) -> np.ndarray:
+    """The graph over unit vectors in single precision: `degree` edges a row, unused ones name the row count, and one blank row more."""
+    n = len(units)
+    points, same = np.vstack([units, np.zeros((1, units.shape[1]), np.float32)]), np.ones(n + 1)
     edges = np.full((n + 1, degree), n, np.int32)
-    start = int(((points[:n] - points[:n].mean(0)) ** 2).sum(1).argmin())
+    start = np.array([(points[:n] @ points[:n].mean(0)).argmax()], np.int32)
     order = np.random.default_rng(seed).permutation(n).astype(np.int32)
     order = order[order != start]
     at, size = 0, 1
     while at < len(order):
         new = order[at : at + size]
         at, size = at + size, min(batch, max(size + 1, at // 8))
-        _, _, ids, _ = _beam(points, edges, start, points[new], beam)
+        _, _, ids = _beam(points, same, edges, start, points[new], beam)
         edges[new] = _prune(points, new, ids, degree, relax)
         source, target = np.repeat(new, degree), edges[new].ravel()
         source, target = source[target < n], target[target < n]
@@ -113,88 +125,123 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEA
             fits = np.sort(both[free], 1)[:, :degree]
             edges[targets[many][free]] = fits
             edges[targets[many][~free]] = _prune(points, targets[many][~free], both[~free], degree, relax)
-    return edges, start
+    return edges
+
+
+def entry_points(lengths: np.ndarray, most: int = ENTRIES, seed: int = 7) -> np.ndarray:
+    """The numbers of the longest vectors and of as many others, drawn by a fixed seed."""
+    longest = np.argsort(-lengths, kind="stable")[: most // 2]
+    return np.unique(np.concatenate([longest, np.random.default_rng(seed).permutation(len(lengths))[: most // 2]])).astype(np.int32)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding (array of double) of the rows that take part: those with an id and a finite, non-zero vector without nulls,
-    as long as most vectors are (the shorter, if as many are). Rows that are equal in both columns count once."""
+    """vec_id and embedding (array of double) of the rows that take part: those with an id and a finite, non-zero vector without nulls.
+    Rows that are equal in both columns count once; all dimensions stay; other columns are not read."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("vec_id IS NOT NULL")
     sane: Column = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
-    rows = rows.filter(sane)
-    sizes = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).first()
-    return rows.filter(F.size("embedding") == (sizes["n"] if sizes else 0)).dropDuplicates(["vec_id", "embedding"])
+    return rows.filter(sane).dropDuplicates(["vec_id", "embedding"])
+
+
+def _dealt(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """rows (with embedding) and width, parts (how many parts of about `size` rows the vectors of that dimension need) and the row's part.
+
+    The table of part numbers has MOST_WIDTHS rows at most, whatever the input.
+    """
+    width = F.least(F.size("embedding"), F.lit(MOST_WIDTHS))
+    parts = rows.groupBy(width.alias("_width")).count().select("_width", F.ceil(F.col("count") / size).cast("int").alias("_parts"))
+    placed = rows.withColumn("_width", width).join(F.broadcast(parts), "_width")
+    key = F.xxhash64("vec_id") if name == "block" else F.xxhash64("embedding")
+    return placed.select(*rows.columns, F.size("embedding").alias("width"), F.pmod(key, F.col("_parts")).cast("int").alias(name), F.col("_parts").alias(f"{name}s"))
+
+
+INDEX = "width int, shard int, shards int, n int, vectors binary, edges binary, entries binary, id_ends binary, ids binary"
 
 
 def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS, degree: int = DEGREE, beam: int = BUILD_BEAM) -> DataFrame:
-    """One row per shard of usable() rows: shard, and as bytes its distinct vectors, their edges, and their ids.
+    """One row per shard of usable() rows: its dimension and number, and as bytes its distinct vectors, their edges, the entry points, and the ids.
 
-    Of equal vectors one is a point of the graph, with the smallest k + 1 of their ids: no answer of k can need more.
+    Of equal vectors one is a point of the graph, with the smallest k + 1 of their ids: no answer of k can need more. A group of equal
+    vectors is cut down to those before it is gathered, and no shard holds many more than shard_rows points.
     """
     rank = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
     points = rows.withColumn("rank", rank).filter(F.col("rank") <= k + 1).groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    shards = max(1, ceil(rows.agg(F.approx_count_distinct("embedding")).first()[0] / shard_rows))
-    points = points.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int"))
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by([("first", "ascending")]).combine_chunks()
         n = table.num_rows
         vectors = table["embedding"].combine_chunks().flatten().to_numpy().reshape(n, -1)
         ids = table["ids"].combine_chunks()
-        edges, start = build_graph(lifted(vectors), degree, beam)
-        return pa.table(
-            {
-                "shard": [table["shard"][0].as_py()], "n": [n], "start": [start], "vectors": [vectors.tobytes()], "edges": [edges.tobytes()],
-                "id_ends": [np.cumsum(ids.value_lengths().to_numpy()).astype(np.int64).tobytes()], "ids": [ids.flatten().to_numpy().astype(np.int64).tobytes()],
-            },
-            schema=pa.schema([("shard", pa.int32()), ("n", pa.int32()), ("start", pa.int32()), *((x, pa.binary()) for x in ("vectors", "edges", "id_ends", "ids"))]),
-        )
-
-    points = points.select("shard", "embedding", "ids", F.element_at("ids", 1).alias("first"))
-    return points.groupBy("shard").applyInArrow(build, "shard int, n int, start int, vectors binary, edges binary, id_ends binary, ids binary")
-
-
-def lifted(vectors: np.ndarray) -> np.ndarray:
-    squares = (vectors**2).sum(1)
-    return np.hstack([vectors, np.sqrt(np.maximum(squares.max() - squares, 0))[:, None]])
+        units, lengths = directions(vectors)
+        columns = [vectors, build_graph(units, degree, beam), entry_points(lengths), np.cumsum(ids.value_lengths().to_numpy()).astype(np.int64), ids.flatten().to_numpy().astype(np.int64)]
+        numbers = [table[c][0].as_py() for c in ("width", "shard", "shards")]
+        schema = pa.schema([*((x, pa.int32()) for x in ("width", "shard", "shards", "n")), *((x, pa.binary()) for x in ("vectors", "edges", "entries", "id_ends", "ids"))])
+        return pa.Table.from_arrays([pa.array([x], t.type) for x, t in zip([*numbers, n, *(c.tobytes() for c in columns)], schema, strict=True)], schema=schema)
+
+    dealt = _dealt(points, shard_rows, "shard").select("width", "shard", "shards", "embedding", "ids", F.element_at("ids", 1).alias("first"))
+    return dealt.groupBy("width", "shard").applyInArrow(build, INDEX)
+
+
+def _search(shard: dict, own: np.ndarray, asked: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query ids, vec_ids, scores): up to k of the shard's nearest found of each query id (own) by its vectors (asked)."""
+    read = lambda name, kind: np.frombuffer(shard[name], kind)
+    vectors = read("vectors", np.float64).reshape(shard["n"], -1)
+    edges, entries, ends, ids = read("edges", np.int32).reshape(shard["n"] + 1, -1), read("entries", np.int32), read("id_ends", np.int64), read("ids", np.int64)
+    units, lengths = directions(vectors)
+    units, lengths = np.vstack([units, np.zeros((1, units.shape[1]), np.float32)]), np.append(lengths, 0.0)
+    found, far, _ = _beam(units, lengths, edges, entries, directions(asked)[0], max(beam, 2 * k))
+    q, slot = np.nonzero(np.isfinite(far))
+    point = found[q, slot]
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = np.einsum("nd,nd->n", vectors[point], asked[q])
+    first = np.concatenate([[0], ends[:-1]])[point]
+    counts = ends[point] - first
+    at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    q, score, vec = np.repeat(own[q], counts), np.repeat(score, counts), ids[at]
+    order = np.lexsort((-score, vec, q))  # of several vectors of an id, its best counts
+    q, score, vec = q[order], score[order], vec[order]
+    keep = (vec != q) & np.append(True, (q[1:] != q[:-1]) | (vec[1:] != vec[:-1]))[: len(q)]
+    q, score, vec = q[keep], score[keep], vec[keep]
+    order = np.lexsort((vec, -score, q))
+    q, score, vec = q[order], score[order], vec[order]
+    best = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[best], vec[best], score[best]
 
 
 def search_index(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM) -> DataFrame:
-    """The k nearest found of each query (vec_id, embedding): query_id, rank, vec_id, score. A row with the query's own vec_id is no answer to it.
+    """The k nearest found of each query (vec_id, embedding, as usable() gives them): query_id, rank, vec_id, score.
 
-    Queries go to every shard in blocks of BLOCK_QUERIES, so no task holds more than one shard and one block at a time.
+    Nearest first, ties to the smaller vec_id. Rows of one vec_id are one thing with several vectors: its best inner product counts, it has
+    one ranking, and it is no answer to itself. Inner products too large for a double are infinite, those too small are zeros (which of those are
+    found is left open); sums of infinite parts that are no numbers come
+    last. Queries go to every shard of their dimension in blocks, so a task holds one shard and one block at a time: blocks are
+    copied for each shard and shards for each block, and nothing passes through the driver.
     """
-    shards = index.select("shard")
-    n = shards.agg(F.max("shard")).first()[0]
-    blocks = queries.groupBy((F.xxhash64("vec_id") % F.lit(max(1, ceil(queries.count() / BLOCK_QUERIES)))).alias("block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
-    work = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n or 0)))).join(index, "shard")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                rows = batch.column("queries")[i].values
-                own = rows.field("vec_id").to_numpy()
-                asked = rows.field("embedding").flatten().to_numpy().reshape(len(own), -1)
-                size, start = batch.column("n")[i].as_py(), batch.column("start")[i].as_py()
-                vectors, edges, ends, ids = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in (("vectors", np.float64), ("edges", np.int32), ("id_ends", np.int64), ("ids", np.int64)))
-                vectors, edges = vectors.reshape(size, -1), edges.reshape(size + 1, -1)
-                points = np.vstack([lifted(vectors), np.zeros((1, vectors.shape[1] + 1))]).astype(np.float32)
-                found, far, _, _ = _beam(points, edges, start, np.hstack([asked, np.zeros((len(own), 1))]).astype(np.float32), max(beam, 2 * k))
-                q, slot = np.nonzero(np.isfinite(far))
-                point = found[q, slot]
-                score = np.einsum("nd,nd->n", vectors[point], asked[q])
-                first = np.concatenate([[0], ends[:-1]])[point]
-                counts = ends[point] - first
-                at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-                q, score, vec = np.repeat(q, counts), np.repeat(score, counts), ids[at]
-                keep = vec != own[q]
-                q, score, vec = q[keep], score[keep], vec[keep]
-                order = np.lexsort((vec, -score, q))
-                q, score, vec = q[order], score[order], vec[order]
-                heads = np.searchsorted(q, np.arange(len(own)))
-                best = np.arange(len(q)) - heads[q] < k
-                yield pa.RecordBatch.from_arrays([pa.array(own[q[best]]), pa.array(vec[best]), pa.array(score[best])], ["query_id", "vec_id", "score"])
-
-    found = work.select("queries", "n", "start", "vectors", "edges", "id_ends", "ids").mapInArrow(tidied(run), "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    shards = F.broadcast(index.select("width", "shards").filter(F.col("width") <= MOST_WIDTHS).distinct())
+    wide = index.filter(F.col("width") > MOST_WIDTHS).select(F.max("shards").alias("_wide"))
+    dealt = _dealt(queries.select("vec_id", "embedding"), BLOCK_QUERIES, "block")
+    blocks = F.broadcast(dealt.groupBy(F.least("width", F.lit(MOST_WIDTHS)).alias("_width")).agg(F.max("blocks").alias("blocks")))
+    asked = dealt.drop("blocks").join(shards, "width", "left").join(F.broadcast(wide), how="left").withColumn("shards", F.coalesce("shards", "_wide", F.lit(0))).drop("_wide")
+    asked = asked.filter("shards > 0").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
+    copies = index.withColumn("_width", F.least("width", F.lit(MOST_WIDTHS))).join(blocks, "_width").drop("_width")
+    copies = copies.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "shards")
+
+    def run(block: pa.Table, shard: pa.Table) -> pa.Table:
+        found = []
+        if block.num_rows and shard.num_rows:
+            own = block["vec_id"].to_numpy()
+            order = np.argsort(own, kind="stable")
+            own = own[order]
+            vectors = block["embedding"].combine_chunks().flatten().to_numpy().reshape(len(own), -1)[order]
+            one = {c: shard[c][0].as_py() for c in ("n", "vectors", "edges", "entries", "id_ends", "ids")}
+            # A query id's vectors are searched in one step together.
+            cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            cuts = [*cuts[:: IN_STEP], len(own)]
+            found = [_search(one, own[a:b], vectors[a:b], k, beam) for a, b in zip(cuts, cuts[1:], strict=False)]
+        columns = [np.concatenate([f[j] for f in found]) if found else np.zeros(0, t) for j, t in enumerate((np.int64, np.int64, np.float64))]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+
+    key = ["width", "shard", "block"]
+    found = asked.groupBy(*key).cogroup(copies.groupBy(*key)).applyInArrow(run, "query_id long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), "vec_id"))
+    best = found.groupBy("query_id", "vec_id").agg(F.max(F.when(~F.isnan("score"), F.col("score"))).alias("score")).withColumn("score", F.coalesce("score", F.lit(float("nan"))))
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,8 +1,10 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns, for every operator and stage."""
 
 import hashlib
+import math
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,19 +88,46 @@ def test_conversations(spark):
     assert all(("".join(s.text for s in r.segments)) == r.formatted for r in formatted.collect())
 
 
-def test_vectors(spark):
-    nan, inf = float("nan"), float("inf")
-    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)] + [(60, None), (61, [0.0, 0.0, 0.0]), (62, [1.0, None, 2.0]), (63, [nan, 1.0, 1.0]), (64, [inf, 1.0, 1.0]), (65, [1.0, 2.0]), (None, [1.0, 1.0, 1.0]), (0, [0.0, 0.0, 1.0])]
+def exact(vectors, q, k):
+    """The k nearest of a query id among (id, vector) rows: of several vectors of an id its best counts."""
+    scores = {}
+    for i, v in vectors:
+        for j, w in vectors:
+            if j == q and i != q and len(v) == len(w):
+                scores[i] = max(scores.get(i, -math.inf), float(np.dot(np.array(v), np.array(w))))
+    return [i for i, _ in sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:k]]
+
+
+def nearest(spark, rows, every, k):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("mine") for c in CLASHES})
     usable = graph_search.usable(df)
-    assert sorted(r.vec_id for r in usable.collect()) == list(range(60))
     got = {}
-    for r in graph_search.search_index(graph_search.build_index(usable, 5), usable.filter("vec_id % 20 = 0"), 5).collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    vectors = {i: v for i, v in rows[:60]}
-    for q, found in got.items():
-        exact = sorted(((-sum(a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q))[:5]
-        assert [(n, i) for n, i, _ in sorted(found)] == [(n, i) for n, (_, i) in enumerate(exact, 1)]
-    assert set(got) == {0, 20, 40}
-    empty = graph_search.usable(df.limit(0))
-    assert graph_search.search_index(graph_search.build_index(empty, 5), empty, 5).count() == 0
+    for r in sorted(graph_search.search_index(graph_search.build_index(usable, k), usable.filter(F.col("vec_id") % every == 0), k).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+        assert r["rank"] == len(got[r.query_id])
+    return got
+
+
+def test_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)] + [(100 + i, [float(i), 1.0]) for i in range(30)]
+    bad = [(200, None), (201, [0.0, 0.0, 0.0]), (202, [1.0, None, 2.0]), (203, [nan, 1.0, 1.0]), (204, [inf, 1.0, 1.0]), (205, []), (None, [1.0, 1.0, 1.0]), (7, rows[7][1])]
+    rows.append((40, [0.0, 0.0, 9.0]))
+    got = nearest(spark, rows + bad, 20, 5)
+    assert got == {q: exact(rows, q, 5) for q in (0, 20, 40, 100, 120)}
+    assert nearest(spark, rows[:1], 20, 5) == {} and nearest(spark, [], 20, 5) == {}
+
+
+@pytest.mark.parametrize("size", [1e25, 1e-30, 1e-100, 1e150])
+def test_vector_sizes(spark, size):
+    rng = np.random.default_rng(1)
+    rows = [(i, (rng.normal(size=8) * size).tolist()) for i in range(300)]
+    assert nearest(spark, rows[:15], 5, 20) == {q: exact(rows[:15], q, 20) for q in (0, 5, 10)}
+    mixed = rows + [(i + 1000, (rng.normal(size=8) * 10.0 ** rng.integers(-20, 20)).tolist()) for i in range(100)]
+    for got, vectors in ((nearest(spark, rows, 60, 20), rows), (nearest(spark, mixed, 60, 20), mixed)):
+        assert all(len(set(found) & set(exact(vectors, q, 20))) >= 19 for q, found in got.items()) and set(got) == {i for i, _ in vectors if i % 60 == 0}
+
+
+def test_vector_overflow(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 1.0]), (2, [1e200, -1e200]), (3, [-1e200, -1e200])]
+    assert nearest(spark, rows, 10, 5) == {0: [1, 3, 2]}

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -308,3 +309,26 @@ def test_recall(spark):
         assert len(rows) == 20 and all(math.isclose(s, scores[i], rel_tol=1e-12) for _, i, s in rows)
         hits += len({i for _, i, _ in rows} & set(exact))
     assert hits >= 0.95 * 20 * len(found) and len(found) == 72
+
+
+@pytest.mark.parametrize("kind", ["unit", "spread"])
+def test_recall_of_full_shards(spark, kind):
+    rng, n = np.random.default_rng(8), 3 * graph_search.SHARD_ROWS
+    vectors = rng.normal(size=(n, 32))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    if kind == "spread":
+        vectors *= np.exp(rng.normal(size=(n, 1)))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(vectors.ravel(), 32).cast(pa.list_(pa.float64()))}))
+    usable = graph_search.usable(df).repartition(4)
+    index = common.written(graph_search.build_index(usable, 20), common.shared_dir(spark), "index")
+    assert index.count() == 3
+    found = {}
+    for r in graph_search.search_index(index, usable.filter("vec_id % 400 = 0"), 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q, rows in found.items():
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len(rows & set(np.argsort(-scores)[:20].tolist()))
+    print(kind, "recall", hits / 20 / len(found))
+    assert len(found) == -(-n // 400) and hits >= 0.9 * 20 * len(found)
