@@ -75,6 +75,37 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = to
 
 
+def stretches(data: np.ndarray, offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row numbers, bytes, offsets) of pieces of about `most` bytes: several whole rows each, or a part of one row that is longer.
+
+    Such a row is cut at its last space within each `most` bytes from the cut before, so always alike; a word longer than that stays whole.
+    """
+    for a, b in slices(offsets, most):
+        own = data[offsets[a] : offsets[b]]
+        if len(own) <= most or b - a > 1:
+            yield np.arange(a, b), own, offsets[a : b + 1] - offsets[a]
+            continue
+        for i, j in cuts(own, most):
+            yield np.array([a]), own[i:j], np.array([0, j - i])
+
+
+def cuts(text: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """The stretches of a long text: each ends behind its last space within `most` bytes, or behind the next one if there is none."""
+    at = 0
+    while at < len(text):
+        to = min(at + most, len(text))
+        if to < len(text):
+            spaces = np.flatnonzero(IS_SPACE[text[at:to]])
+            if len(spaces):
+                to = at + int(spaces[-1]) + 1
+            else:
+                while to < len(text) and not IS_SPACE[text[to - 1]]:
+                    after = np.flatnonzero(IS_SPACE[text[to : to + most]])
+                    to = to + int(after[0]) + 1 if len(after) else min(to + most, len(text))
+        yield at, to
+        at = to
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word in data, and for each row the number of words before it (n + 1 values)."""
     n = len(data)

@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -284,8 +286,6 @@ def test_toxicity_held_out(spark):
     got = {r.doc_id: r for r in toxicity.score_all(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     held = [i for i, _, _ in labels if got[i].held_out]
     assert len(held) > 100 and sum(got[i].predicted == labels[i][2] for i in held) >= 0.98 * len(held)
-    import zlib
-
     assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
 
 
@@ -311,6 +311,51 @@ def test_recall(spark):
     assert hits >= 0.95 * 20 * len(found) and len(found) == 72
 
 
+def test_toxicity_unseen_terms(spark):
+    """Toxic words are a stem and an ending; held-out rows have endings of which no row taught."""
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "po", "ri") for b in ("ra", "so", "tu", "vi", "wo")]
+    rows, labels = [], []
+    for i in range(1200):
+        held, toxic = zlib.crc32(str(i).encode()) % 5 == 0, rng.random() < 0.2
+        w = rng.choices(words, k=40)
+        if toxic:
+            w[rng.randrange(40)] = rng.choice(["zorgfu", "blekni", "hrumpo"]) + rng.choice(["xa", "xe", "xi"] if held else ["ba", "be", "bi", "bo"])
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(toxic)))
+    again = [(3, rows[3][1]), (3, "katu another text"), (None, rows[5][1])]  # repeated ids and a null one
+    got = toxicity.score_all(spark.createDataFrame(rows + again, "doc_id long, text string"), spark.createDataFrame(labels + labels[:9], "doc_id long, quality int, toxic int")).collect()
+    assert len(got) == len(rows) + 3 and sum(r.doc_id == 3 for r in got) == 3
+    one = {r.doc_id: r for r in got if r.doc_id not in (3, None)}
+    held = [i for i, r in one.items() if r.held_out]
+    assert len(held) > 150 and sum(one[i].predicted == labels[i][2] for i in held) >= 0.97 * len(held)
+
+
+def test_toxicity_disguises():
+    voters = toxicity.Voters([])
+    said = lambda t: {n for n, v in zip(voters.names, toxicity.votes_of(pa.array([t]), voters, np.array([0]))[0], strict=True) if v == toxicity.TOXIC}
+    assert said("what an 1d10t") == {"leet"} and said("stuuupid thing") == {"stretched"} and said("so idiots say") == {"starts"}
+    assert said("you are a moron") >= {"contempt", "addressed"} and said("scum and clown and clown") >= {"dehuman", "insult", "repeated"}
+    assert said("SHOUTING ALL THE TIME HERE") == {"shout"} and said("no!!! #$%& way") == {"exclaim", "signs"} and not said("a calm text") and not said("")
+
+
+@given(st.lists(st.text(alphabet="abI é1!\n", max_size=40), max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_words_in(rows):
+    data, offsets = common.string_bytes(pa.array(rows, pa.string()))
+    w = toxicity.words_in(data, offsets)
+    own = [(i, m.group()) for i, t in enumerate(rows) for m in re.finditer(r"[^\W\d_]+", t.lower())]
+    assert [(r, "".join(map(chr, w.codes[a:b]))) for r, a, b in zip(w.rows, w.starts, w.ends, strict=True)] == own
+
+
+@given(st.text(alphabet="ab \n", max_size=80), st.integers(1, 20))
+@settings(max_examples=100, deadline=None)
+def test_cuts(text, most):
+    data = np.frombuffer(text.encode(), np.uint8)
+    parts = [data[a:b].tobytes().decode() for a, b in common.cuts(data, most)]
+    assert "".join(parts) == text and [w for p in parts for w in p.split()] == text.split()
+
+
 @pytest.mark.parametrize("kind", ["unit", "spread"])
 def test_recall_of_full_shards(spark, kind):
     rng, n = np.random.default_rng(8), 3 * graph_search.SHARD_ROWS
