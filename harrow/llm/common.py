@@ -21,6 +21,8 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 #: Rows of a batch that a task hands to Python at once; Spark's default of 10 000 long texts takes much memory on either side.
 BATCH_ROWS = 500
+#: Rows of one key above which the key is dealt over SALTS parts in joined_salted().
+HOT_ROWS, SALTS = 1024, 64
 #: 64-bit words of a bit filter (4 MB).
 FILTER_WORDS = 1 << 19
 
@@ -89,18 +91,36 @@ def stretches(data: np.ndarray, offsets: np.ndarray, most: int = SLICE_BYTES) ->
             yield np.array([a]), own[i:j], np.array([0, j - i])
 
 
-def cuts(text: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """The stretches of a long text: each ends behind its last space within `most` bytes, or behind the next one if there is none."""
+def overlapping(data: np.ndarray, offsets: np.ndarray, overlap: int, most: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """As stretches(), but a later part of a long row begins `overlap` words before its cut, so that every run of overlap + 1 words lies whole
+    in a part; and how many words of its row stand before the part."""
+    for a, b in slices(offsets, most):
+        own = data[offsets[a] : offsets[b]]
+        if len(own) <= most or b - a > 1:
+            yield np.arange(a, b), own, offsets[a : b + 1] - offsets[a], 0
+            continue
+        first, before = 0, 0
+        for _, j in cuts(own, most):
+            part = own[first:j]
+            yield np.array([a]), part, np.array([0, len(part)]), before
+            starts = words_of(part, np.array([0, len(part)]))[0]
+            k = max(0, len(starts) - overlap)
+            before += k
+            first = first + int(starts[k]) if k < len(starts) else j
+
+
+def cuts(text: np.ndarray, most: int = SLICE_BYTES, stops: np.ndarray = IS_SPACE) -> Iterator[tuple[int, int]]:
+    """The stretches of a long text: each ends behind its last space (or other stop) within `most` bytes, or behind the next one if there is none."""
     at = 0
     while at < len(text):
         to = min(at + most, len(text))
         if to < len(text):
-            spaces = np.flatnonzero(IS_SPACE[text[at:to]])
+            spaces = np.flatnonzero(stops[text[at:to]])
             if len(spaces):
                 to = at + int(spaces[-1]) + 1
             else:
-                while to < len(text) and not IS_SPACE[text[to - 1]]:
-                    after = np.flatnonzero(IS_SPACE[text[to : to + most]])
+                while to < len(text) and not stops[text[to - 1]]:
+                    after = np.flatnonzero(stops[text[to : to + most]])
                     to = to + int(after[0]) + 1 if len(after) else min(to + most, len(text))
         yield at, to
         at = to
@@ -174,6 +194,18 @@ def with_maybe(rows: DataFrame, table: DataFrame, key: str, name: str) -> DataFr
     return placed.join(F.broadcast(table), "_word", "left").withColumn(name, hit).drop("_word", "_at", "_bits")
 
 
+def joined_salted(rows: DataFrame, keys: DataFrame, on: list[str], by: str) -> DataFrame:
+    """rows.join(keys, on), where keys (a written table, one row per key) has the number of each key's rows as _n, which is dropped.
+
+    Keys of more than HOT_ROWS rows are dealt over SALTS parts by the column `by` of rows, so that none lands in one task.
+    """
+    hot = bit_filter(keys.filter(F.col("_n") > HOT_ROWS), on[0])
+    salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
+    left = with_maybe(rows, hot, on[0], "_hot").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(with_maybe(keys.drop("_n"), hot, on[0], "_hot").withColumn("_salt", F.explode(salts)).drop("_hot"), [*on, "_salt"]).drop("_salt")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Sets the session's Arrow batches to BATCH_ROWS rows, if they are larger."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

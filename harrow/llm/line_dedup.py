@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, bit_filter, mix, powers, shared_dir, slices, string_bytes, tidied, with_maybe, written
+from .common import IS_SPACE, SLICE_BYTES, bit_filter, cuts, joined_salted, mix, powers, shared_dir, slices, string_bytes, tidied, with_maybe, written
 
 #: Lines that the rolling hash spans, one in how many lines ends a chunk, and the most lines of a chunk.
 SPAN, ONE_IN, MOST_LINES = 2, 4, 32
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _SPACES = " \t\n\v\f\r"
+IS_FEED = np.arange(256) == 10
 
 
 def line_ends(data: np.ndarray) -> np.ndarray:
@@ -104,8 +105,8 @@ def repeated_chunks(docs: DataFrame, folder: str) -> DataFrame:
     groups = written(chunks(docs, False).groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash"), folder, "hashes")
     likely = with_maybe(chunks(docs, True), bit_filter(groups, "hash"), "hash", "maybe").filter("maybe").drop("maybe")
     suspects = written(likely.join(groups, "hash", "left_semi"), folder, "suspects")
-    firsts = suspects.groupBy("hash", "chunk").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash", "chunk", "low")
-    return suspects.join(firsts, ["hash", "chunk"]).filter(place > F.col("low")).select("doc_id", "at")
+    firsts = suspects.groupBy("hash", "chunk").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("_n")).filter("low < high").select("hash", "chunk", "low", "_n")
+    return joined_salted(suspects, written(firsts, folder, "firsts"), ["hash", "chunk"], "doc_id").filter(place > F.col("low")).select("doc_id", "at")
 
 
 def remove_repeats(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
@@ -120,8 +121,7 @@ def remove_repeats(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
     gone = repeated_chunks(own.filter("_id IS NOT NULL").select(F.col("_id").alias("doc_id"), "text"), folder).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("at").alias("_gone"))
     gone = written(gone, folder, "gone")
 
-    @F.udf("string", useArrow=True)
-    def without(text, gone):
+    def without(text: str | None, gone: list[int]) -> str | None:
         if text is None:
             return None
         data = np.frombuffer(text.encode(), np.uint8)
@@ -132,15 +132,39 @@ def remove_repeats(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
             first = end
         return b"".join(keep).decode()
 
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
+        return pa.array([without(t.as_py(), g.as_py() or []) for t, g in zip(texts, gone, strict=True)], pa.string())
+
     # Documents that lose nothing are neither shuffled nor sent to Python.
     marked = with_maybe(own, bit_filter(gone, "_id"), "_id", "_hit")
-    joined = marked.filter("_hit").join(gone, "_id", "left").withColumn("_cut", without(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
+    joined = marked.filter("_hit").join(gone, "_id", "left").withColumn("_cut", cut(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
     joined = joined.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut"))).drop("_gone", "_cut")
     rows = joined.unionByName(marked.filter("NOT _hit").withColumn("_text", F.col("text")))
     gone_bytes = (F.coalesce(F.octet_length("text"), F.lit(0)) - F.coalesce(F.octet_length("_text"), F.lit(0))).cast("long")
     return rows.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != removed], gone_bytes.alias(removed))
 
 
+def _line_stretches(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """(first row, bytes, offsets, lines before) of pieces of bounded size: whole rows, or of a longer row a part that ends with a line and begins
+    with the last line with words of the part before, so that each two lines that follow each other lie whole in a part."""
+    for a, b in slices(offsets):
+        own = data[offsets[a] : offsets[b]]
+        if b - a > 1 or len(own) <= SLICE_BYTES:
+            yield a, own, offsets[a : b + 1] - offsets[a], 0
+            continue
+        first, before = 0, 0
+        for _, j in cuts(own, stops=IS_FEED):
+            part = own[first:j]
+            yield a, part, np.array([0, len(part)]), before
+            starts = np.concatenate([[0], np.flatnonzero(part == 10) + 1])
+            starts = starts[starts < len(part)]
+            filled = np.flatnonzero(np.add.reduceat(~IS_SPACE[part], starts, dtype=np.int64))
+            if len(filled):
+                before += int(filled[-1])
+                first += int(starts[filled[-1]])
+
+
 def line_pairs(docs: DataFrame, with_text: bool) -> DataFrame:
     """(doc_id, copy, at, hash) of each two lines with words that follow each other, and their bytes if asked for; at: the number of the first in its text.
 
@@ -150,8 +174,7 @@ def line_pairs(docs: DataFrame, with_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = string_bytes(batch.column(2))
-            for a, b in slices(offsets):
-                own, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            for a, own, bounds, before in _line_stretches(data, offsets):
                 if not len(own):
                     continue
                 open_end = (np.diff(bounds) > 0) & (own[bounds[1:] - 1] != 10)
@@ -171,7 +194,7 @@ def line_pairs(docs: DataFrame, with_text: bool) -> DataFrame:
                     hashes = _hashes(own, ends)
                     hashes = mix(hashes[one] * _BASE + hashes[two])
                 at = pa.array(rows[one] + a)
-                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(places[one].astype(np.int32)), pa.array(hashes.view(np.int64))]
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array((places[one] + before).astype(np.int32)), pa.array(hashes.view(np.int64))]
                 if with_text:
                     raw = own.tobytes()
                     columns.append(pa.array([raw[i:j] for i, j in zip(starts[one].tolist(), ends[two].tolist(), strict=True)], pa.binary()))
@@ -189,10 +212,10 @@ def repeated_pairs(docs: DataFrame, folder: str) -> DataFrame:
     groups = written(line_pairs(docs, False).groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash"), folder, "hashes")
     likely = with_maybe(line_pairs(docs, True), bit_filter(groups, "hash"), "hash", "maybe").filter("maybe").drop("maybe")
     suspects = written(likely.join(groups, "hash", "left_semi"), folder, "suspects")
-    firsts = suspects.groupBy("hash", "pair").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("hash", "pair", "low")
+    firsts = suspects.groupBy("hash", "pair").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("_n")).filter("low < high").select("hash", "pair", "low", "_n")
     other = (F.col("doc_id") != F.col("low.doc_id")) | (F.col("copy") != F.col("low.copy"))
     # Pairs of one text may overlap ("a a a"): the first one's own lines aren't its copies.
-    return suspects.join(firsts, ["hash", "pair"]).filter(other | (F.col("at") > F.col("low.at") + 1)).select("doc_id", "copy", "at")
+    return joined_salted(suspects, written(firsts, folder, "firsts"), ["hash", "pair"], "doc_id").filter(other | (F.col("at") > F.col("low.at") + 1)).select("doc_id", "copy", "at")
 
 
 def remove_passages(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
@@ -206,8 +229,7 @@ def remove_passages(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
     gone = repeated_pairs(own.filter("_id IS NOT NULL").select(F.col("_id").alias("doc_id"), F.col("_copy").alias("copy"), "text"), folder)
     gone = written(gone.groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).agg(F.collect_set("at").alias("_gone")), folder, "gone")
 
-    @F.udf("string", useArrow=True)
-    def without(text, gone):
+    def without(text: str | None, gone: list[int]) -> str | None:
         if text is None:
             return None
         lines, starts, out, last = text.split("\n"), set(gone), [], False
@@ -223,9 +245,13 @@ def remove_passages(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
             last = False
         return "".join(out)
 
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
+        return pa.array([without(t.as_py(), g.as_py() or []) for t, g in zip(texts, gone, strict=True)], pa.string())
+
     # Documents that lose nothing are neither shuffled nor sent to Python.
     marked = with_maybe(own, bit_filter(gone, "_id"), "_id", "_hit")
-    joined = marked.filter("_hit").join(gone, ["_id", "_copy"], "left").withColumn("_cut", without(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
+    joined = marked.filter("_hit").join(gone, ["_id", "_copy"], "left").withColumn("_cut", cut(F.when(F.col("_gone").isNotNull(), F.col("text")), "_gone"))
     joined = joined.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut"))).drop("_gone", "_cut")
     rows = joined.unionByName(marked.filter("NOT _hit").withColumn("_text", F.col("text")))
     gone_bytes = (F.coalesce(F.octet_length("text"), F.lit(0)) - F.coalesce(F.octet_length("_text"), F.lit(0))).cast("long")

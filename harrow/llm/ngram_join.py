@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, gram_hashes, mix, row_of, shared_dir, slices, string_bytes, tidied, within_rows, word_hashes, words_of, with_maybe, written
+from .common import SLICE_BYTES, bit_filter, gram_hashes, joined_salted, mix, overlapping, row_of, shared_dir, slices, string_bytes, tidied, within_rows, word_hashes, words_of, with_maybe, written
 from .components import connected_components
 
 #: N-grams in more prefixes than this are frequent; the most of them that are sent to every task (16 MB).
@@ -43,9 +43,11 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray
     grams = gram_hashes(words, n, 3)
     at = np.flatnonzero(within_rows(counts, n, len(grams)))
     hashes, rows = grams[at], row_of(counts)[at]
-    for r in np.flatnonzero((sizes > 0) & (sizes < n)):  # the whole sequence as one
-        one = gram_hashes(words[counts[r] : counts[r + 1]], int(sizes[r]), 3)
-        hashes, rows = np.append(hashes, mix(one + sizes[r].astype(np.uint64))), np.append(rows, r)
+    for k in range(1, n):  # the whole sequence of a shorter text as one
+        short = np.flatnonzero(sizes == k)
+        if len(short):
+            one = gram_hashes(words[(counts[short][:, None] + np.arange(k)).ravel()], k, 3)[::k]
+            hashes, rows = np.append(hashes, mix(one + np.uint64(k))), np.append(rows, short)
     order = np.lexsort((hashes, rows))
     hashes, rows = hashes[order], rows[order]
     new = np.ones(len(hashes), bool)
@@ -55,10 +57,19 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray
 
 
 def _batches(batch: pa.RecordBatch, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row numbers, hashes, ends) of the slices of a batch whose column 1 is the text."""
+    """(row numbers, hashes, ends) of the slices of a batch whose column 1 is the text. A text longer than a slice is hashed in parts; it is a slice of its own."""
     data, offsets = string_bytes(batch.column(1))
     for a, b in slices(offsets):
-        yield np.arange(a, b), *gram_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n)
+        own, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+        if b - a > 1 or len(own) <= SLICE_BYTES:
+            yield np.arange(a, b), *gram_sets(own, bounds, n)
+            continue
+        grams, words = np.zeros(0, np.uint64), 0
+        for _, part, ends, before in overlapping(own, bounds, n - 1):
+            words = before + int(words_of(part, ends)[2][-1])
+            if words - before >= n:
+                grams = np.union1d(grams, gram_sets(part, ends, n)[0])
+        yield (np.array([a]), grams, np.array([0, len(grams)])) if words >= n else (np.array([a]), *gram_sets(own, bounds, n))
 
 
 def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
@@ -272,8 +283,8 @@ def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     folder = shared_dir(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
     digests = written(set_digests(docs, n, percent), folder, "digests")
-    groups = digests.filter("size > 0").groupBy("size", "set1", "set2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    copies = written(digests.join(groups.filter("first < last"), ["size", "set1", "set2"]).filter("doc_id > first").select("doc_id", "first").distinct(), folder, "copies")
+    groups = digests.filter("size > 0").groupBy("size", "set1", "set2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("_n")).filter("first < last").drop("last")
+    copies = written(joined_salted(digests.select("doc_id", "size", "set1", "set2"), written(groups, folder, "groups"), ["set1", "set2", "size"], "doc_id").filter("doc_id > first").select("doc_id", "first").distinct(), folder, "copies")
     # A document of several sets may have links by one that is no copy, so it keeps its prefixes.
     place = F.struct("size", "set1", "set2")
     several = written(digests.groupBy("doc_id").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("doc_id"), folder, "several")

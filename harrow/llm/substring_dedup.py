@@ -3,9 +3,10 @@
 A window is `window` consecutive words. Of each window the index keeps one fingerprint: the smallest hash
 among the runs of `gram` words inside it, so equal windows always keep equal fingerprints and about a fifth
 of all positions are kept. Each batch becomes one immutable run: a table bucketed and sorted by fingerprint.
-A new run is merge-joined with the older ones bucket by bucket (no shuffle, no sort); the documents that
-share a fingerprint are then verified by two independent hashes (96 bits) of all words of the windows
-concerned. Runs are compacted when there are more than `fan_in` of one level.
+A new run is merge-joined with the older ones bucket by bucket, without a shuffle (Spark sorts a bucket again, as it doesn't rely on
+the order of its file); the documents that share a fingerprint are then verified by two independent hashes (95 bits) of all words of
+the windows concerned. Runs are compacted when there are more than `fan_in` of one level. The list of runs is a table as well,
+so a later session can go on with the index.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bit_filter, gram_hashes, row_of, shared_dir, slices, string_bytes, tidied, with_maybe, within_rows, word_hashes, words_of, written
+from .common import bit_filter, cuts, gram_hashes, joined_salted, overlapping, row_of, shared_dir, string_bytes, tidied, with_maybe, within_rows, word_hashes, words_of, written
 
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -49,14 +50,13 @@ def _window_marks(words: np.ndarray, counts: np.ndarray, window: int, gram: int)
 
 
 def fingerprints(docs: DataFrame, window: int = 13, gram: int = 6) -> DataFrame:
-    """The distinct (fp, doc_id) of each document. Null texts and texts of fewer words than a window have none."""
+    """The distinct (fp, doc_id) of each document; of one longer than a slice some come more than once. Null texts and texts of fewer words than a window have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = string_bytes(batch.column(1))
-            for a, b in slices(offsets):
-                part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            for numbers, part, own, _ in overlapping(data, offsets, window - 1):
                 starts, ends, counts = words_of(part, own)
                 grams, kept, _, _ = _window_marks(word_hashes(part, starts, ends), counts, window, gram)
                 at = np.flatnonzero(kept)
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, window: int = 13, gram: int = 6) -> DataFrame:
                 rows, fps = rows[order], fps[order]
                 new = np.ones(len(fps), bool)
                 new[1:] = (fps[1:] != fps[:-1]) | (rows[1:] != rows[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(fps[new].view(np.int64)), pa.array(ids[a:b][rows[new]])], ["fp", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(fps[new].view(np.int64)), pa.array(ids[numbers][rows[new]])], ["fp", "doc_id"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL").mapInArrow(tidied(run), "fp long, doc_id long")
 
@@ -75,27 +75,39 @@ class FingerprintIndex:
 
     add() appends a batch as a run and returns which of its fingerprints, and of the older runs', are shared by
     different documents. compact() merges the runs of a level into one of the next. Rows without a doc_id are left out.
+    The runs' names and levels are kept in the table <name>_runs: an index of that name that is there already is gone on with.
     """
 
     def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None, window: int = 13, gram: int = 6, fan_in: int = 4):
         self.spark, self.window, self.gram, self.fan_in = spark, window, gram, fan_in
         self.name = name or f"harrow_fp_{uuid.uuid4().hex}"
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.runs: list[tuple[int, str]] = []  # (level, table)
-        self._made = 0
-
-    def _write(self, rows: DataFrame, level: int) -> str:
-        table = f"{self.name}_{self._made}"
-        self._made += 1
+        self.runs: list[tuple[int, str]] = []  # (level, table), oldest first
+        lists = sorted(t.name for t in spark.catalog.listTables(pattern=f"{self.name}_runs_*"))
+        if lists:
+            self.runs = [(r.level, r.run) for r in spark.table(lists[-1]).orderBy("at").collect()]
+        self._lists = len(lists) and int(lists[-1].rsplit("_", 1)[1]) + 1
+
+    def _write(self, rows: DataFrame) -> str:
+        table = f"{self.name}_{uuid.uuid4().hex}"
         rows.repartition(self.buckets, "fp").write.bucketBy(self.buckets, "fp").sortBy("fp").format("parquet").saveAsTable(table)
-        self.runs.append((level, table))
         return table
 
+    def _list(self, runs: list[tuple[int, str]]) -> None:
+        """Makes `runs` the index: a new list is written before the old one goes, so one that is whole is always there."""
+        rows = self.spark.createDataFrame([(at, level, run) for at, (level, run) in enumerate(runs)], "at int, level int, run string")
+        rows.coalesce(1).write.format("parquet").saveAsTable(f"{self.name}_runs_{self._lists:09d}")
+        if self._lists:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_runs_{self._lists - 1:09d}")
+        self.runs, self._lists = runs, self._lists + 1
+
     def add(self, batch: DataFrame) -> DataFrame:
         """Adds the batch (doc_id, text) as a run; returns the (doc_id, fp) of this batch and of older runs
         whose fp occurs in two documents, one of them of the batch."""
         older = [t for _, t in self.runs]
-        new = self.spark.table(self._write(fingerprints(batch, self.window, self.gram), 0))
+        made = self._write(fingerprints(batch, self.window, self.gram))
+        self._list([*self.runs, (0, made)])
+        new = self.spark.table(made)
         spread = new.groupBy("fp").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         shared = new.join(spread.filter("low < high"), "fp", "left_semi")
         found = [shared]
@@ -115,15 +127,17 @@ class FingerprintIndex:
                 rows = self.spark.table(own[0])
                 for t in own[1:]:
                     rows = rows.unionByName(self.spark.table(t))
-                self.runs = [x for x in self.runs if x[1] not in own]
-                self._write(rows.distinct(), level + 1)
+                merged = self._write(rows.distinct())
+                self._list([(level + 1, merged), *(x for x in self.runs if x[1] not in own)])
                 for t in own:
                     self.spark.sql(f"DROP TABLE IF EXISTS {t}")
 
     def drop(self) -> None:
         for _, t in self.runs:
             self.spark.sql(f"DROP TABLE IF EXISTS {t}")
-        self.runs = []
+        if self._lists:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_runs_{self._lists - 1:09d}")
+        self.runs, self._lists = [], 0
 
 
 def _suspect_windows(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -136,8 +150,8 @@ def _suspect_windows(docs: DataFrame, window: int, gram: int) -> DataFrame:
             lists = batch.column(2)
             ends_of = lists.offsets.to_numpy()
             fps = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            for a, b in slices(offsets):
-                part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            for numbers, part, own, before in overlapping(data, offsets, window - 1):
+                a, b = int(numbers[0]), int(numbers[-1]) + 1
                 starts, ends, counts = words_of(part, own)
                 words = word_hashes(part, starts, ends)
                 _, _, lows, valid = _window_marks(words, counts, window, gram)
@@ -151,7 +165,7 @@ def _suspect_windows(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 w, c = gram_hashes(words, window, 1)[hit], gram_hashes(words, window, 2)[hit] >> np.uint64(33)
                 rows = rows[hit]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w.view(np.int64)), pa.array(c.astype(np.int32)), pa.array(ids[a:b][rows]), batch.column(3).take(pa.array(rows + a)), pa.array((hit - counts[rows]).astype(np.int32))],
+                    [pa.array(w.view(np.int64)), pa.array(c.astype(np.int32)), pa.array(ids[a:b][rows]), batch.column(3).take(pa.array(rows + a)), pa.array((hit - counts[rows] + before).astype(np.int32))],
                     ["w", "c", "doc_id", "var", "at"],
                 )
 
@@ -165,19 +179,23 @@ def _kept(docs: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             total, gone, kept = [], [], []
             for text, starts, copy in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
-                words = (text.as_py() or "").encode().split()
-                n = len(words)
+                data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
+                at = np.unique(starts.values.to_numpy(zero_copy_only=False)) if starts.is_valid else np.zeros(0, np.int64)
+                n, left, parts = 0, 0, []
+                for i, j in cuts(data):
+                    words = data[i:j].tobytes().split()
+                    place = np.arange(n, n + len(words))
+                    n += len(words)
+                    if len(at):  # the last start at or before a word covers it, or none does
+                        last = np.searchsorted(at, place, "right") - 1
+                        words = [words[k] for k in np.flatnonzero((last < 0) | (at[last] + window <= place))]
+                    left += len(words)
+                    parts += [b" ".join(words)] if words else []
                 if copy.as_py() and n >= window:
-                    words = []
-                elif starts.is_valid and len(starts.values):
-                    edge = np.zeros(n + 1, np.int32)
-                    at = np.unique(starts.values.to_numpy(zero_copy_only=False))
-                    edge[at] += 1
-                    edge[at + window] -= 1
-                    words = [words[i] for i in np.flatnonzero(np.cumsum(edge)[:n] == 0)]
+                    left, parts = 0, []
                 total.append(n)
-                gone.append(n - len(words))
-                kept.append(b" ".join(words).decode())
+                gone.append(n - left)
+                kept.append(b" ".join(parts).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
     return docs.select("doc_id", "text", "starts", "copy").mapInArrow(tidied(run), "doc_id long, n_words long, n_removed long, kept string")
@@ -199,23 +217,24 @@ def remove_repeats(docs: DataFrame, shared: DataFrame, window: int = 13, gram: i
     variants = written(docs.filter("var <> 0").select("doc_id", "var").distinct(), folder, "variants")
     own = ["doc_id", "var"]
     digests = docs.select(*own, F.unhex(F.sha2("text", 256)).alias("digest")).filter("digest IS NOT NULL")
-    groups = digests.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    copies = written(digests.join(groups, "digest").filter("doc_id > low").select(*own).distinct().withColumn("copy", F.lit(True)), folder, "copies")
+    groups = digests.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("_n")).filter("low < high").drop("high")
+    copies = written(joined_salted(digests, written(groups, folder, "groups"), ["digest"], "doc_id").filter("doc_id > low").select(*own).distinct().withColumn("copy", F.lit(True)), folder, "copies")
     shared = shared.join(variants, "doc_id", "left").withColumn("var", F.coalesce("var", F.lit(0).cast("long")))
     by_doc = written(shared.groupBy(*own).agg(F.collect_set("fp").alias("fps")).join(copies, own, "left_anti"), folder, "by_doc")
     windows = _suspect_windows(docs.join(by_doc, own), window, gram)
-    firsts = windows.groupBy("w", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    starts = windows.join(firsts, ["w", "c"]).filter("doc_id > low").groupBy(*own).agg(F.collect_list("at").alias("starts"))
+    firsts = windows.groupBy("w", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("_n")).filter("low < high").drop("high")
+    starts = joined_salted(windows, written(firsts, folder, "firsts"), ["w", "c"], "doc_id").filter("doc_id > low").groupBy(*own).agg(F.collect_list("at").alias("starts"))
     return _kept(docs.join(starts, own, "left").join(copies, own, "left"), window)
 
 
-def dedup_table(docs: DataFrame, batches: int = 2, window: int = 13, gram: int = 6) -> DataFrame:
-    """remove_repeats over a whole table: it is taken in as batches of ascending doc_id, each merged against the runs before it."""
+def dedup_table(docs: DataFrame, batches: int = 4, window: int = 13, gram: int = 6, fan_in: int = 2) -> DataFrame:
+    """remove_repeats over a whole table: it is taken in as batches of ascending doc_id, each merged against the runs before it, which are
+    compacted when there are more than fan_in of one level. The index is dropped in the end; keep a FingerprintIndex of an own name to go on with it."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cuts = docs.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000).alias("cuts")).first()["cuts"] or []
     edges = [None, *sorted(set(cuts)), None]
-    index, folder, shared = FingerprintIndex(spark, window=window, gram=gram), shared_dir(spark), None
+    index, folder, shared = FingerprintIndex(spark, window=window, gram=gram, fan_in=fan_in), shared_dir(spark), None
     try:
         for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
             batch = docs.filter("doc_id IS NOT NULL") if low is None else docs.filter(F.col("doc_id") > low)

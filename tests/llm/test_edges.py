@@ -13,7 +13,7 @@ from harrow.llm import chat_format, graph_search, line_dedup, mixing, ngram_join
 LONG = "\n".join(" ".join(f"w{i * j % 997}" for j in range(12)) for i in range(3000))
 PASSAGE = " ".join(f"p{i}" for i in range(40))
 ROWS = [(0, PASSAGE, "en", "a"), (1, PASSAGE, "en", "a"), (2, None, None, None), (3, "", "en", "b"), (4, LONG, "en", "b"), (5, LONG + " end", "en", "b"), (6, "x " + PASSAGE + " y", "en", "a"), (6, "x " + PASSAGE + " y", "en", "a"), (None, PASSAGE, "en", "a"), (8, " \n\n ", "en", "a"), (9, "one two", "fr", "c")]
-CLASHES = ["copy", "fps", "starts", "score", "predicted", "component", "gram", "size", "ids", "n_tokens", "mix_epoch", "mix_slot", "n_removed", "hash", "chunk", "term", "toxic", "guest", "payload", "rank"]
+CLASHES = ["copy", "fps", "starts", "score", "predicted", "component", "gram", "size", "ids", "n_tokens", "mix_epoch", "mix_slot", "mix_place", "n_removed", "hash", "chunk", "term", "toxic", "guest", "payload", "rank"]
 
 
 def docs(spark, rows=ROWS):

@@ -1,6 +1,8 @@
 """Each operator against a brute-force version, an exact round trip, or held-out accuracy."""
 
+import base64
 import hashlib
+import io
 import math
 import random
 import re
@@ -10,6 +12,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -209,6 +212,33 @@ def test_mixing(spark, budget, limit, target):
         assert len(times) == len(rows)
 
 
+def test_mixing_order(spark):
+    """The last epoch takes the longest beginning, in block order, that fits the quota; sources lie spread over the order."""
+    rng = random.Random(9)
+    rows = [(i, " ".join("w" * rng.randrange(1, 30)), rng.choices(["a", "b", None], [70, 25, 5])[0]) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole, part = mixing.mix(df, budget=60_000, max_epochs=4.0, block_tokens=200).collect(), mixing.mix(df, budget=11_000, max_epochs=1.3, block_tokens=200).collect()
+    key = lambda r: (r.mix_slot, r.mix_place, r.doc_id)
+    size = Counter()
+    for _, t, s in rows:
+        size["null" if s is None else f"={s}"] += len(t.split())
+    plan = mixing.plan(dict(size), 11_000, None, 1.3)
+    for s in ("a", "b", None):
+        name = "null" if s is None else f"={s}"
+        quota = plan.weights[name] * plan.budget
+        last = int(quota / size[name] + 1e-9)
+        order, taken, left = sorted((r for r in whole if r.source == s and r.mix_epoch == last), key=key), [], quota - last * size[name]
+        assert len(order) == sum(x == s for _, _, x in rows)
+        for r in order:
+            left -= len(r.text.split())
+            if left < 0:
+                break
+            taken.append(r.doc_id)
+        assert [r.doc_id for r in sorted((r for r in part if r.source == s and r.mix_epoch == last), key=key)] == taken
+    order = [r.source for r in sorted((r for r in whole if r.mix_epoch == 0), key=key)]
+    assert sum(x != y for x, y in zip(order, order[1:], strict=False)) > 40 and {"a", "b"} <= set(order[: len(order) // 4])
+
+
 def test_warc_seek(spark):
     rows = [(i, f"http://h/{i}", "html é " * (i % 9)) for i in range(60)]
     bundled = warc_bundles.bundles(spark.createDataFrame(rows, "page_id long, url string, html string"), frame_bytes=600, bundle_bytes=900)
@@ -216,12 +246,18 @@ def test_warc_seek(spark):
     places = {r.record_id: r for r in warc_bundles.index(bundled).collect()}
     assert set(places) == set(range(60)) and max(r.frame for r in places.values()) > 0 and bundled.count() > 1
     wanted = spark.createDataFrame([(7,), (59,)], "record_id long")
-    for r in warc_bundles.fetch(bundled, wanted).collect():
+    got = warc_bundles.fetch(bundled, wanted.unionByName(spark.createDataFrame([(7,), (999,)], "record_id long"))).collect()
+    assert sorted(r.record_id for r in got) == [7, 59]
+    for r in got:
         fields, http, payload, end = warc_bundles.parse_record(r.record, 0)
         assert warc_bundles.page_of(fields["WARC-Record-ID"]) == r.record_id and end == len(r.record)
-    import io
-
-    import zstandard
+    back = {r.page_id: r for r in warc_bundles.read(bundled).collect()}
+    first = {}
+    for i, url, html in rows:
+        payload, r = html.encode(), back[i]
+        refers = first.setdefault(payload, i)
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        assert tuple(r) == (i, len(payload), digest, "response" if refers == i else "revisit", None if refers == i else refers, url)
 
     data = bundled.first()["data"]
     whole = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
