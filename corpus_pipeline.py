@@ -20,9 +20,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go, and documents of which nothing is left."""
+    """Passages of two lines or more that stood before go, and documents of which nothing is left."""
     small_batches(spark)
-    kept = line_dedup.remove_repeats(docs, "_removed").filter("_removed = 0 OR length(text) > 0")
+    kept = line_dedup.remove_passages(docs, "_removed").filter("_removed = 0 OR length(text) > 0")
     return kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*docs.columns)
 
 

@@ -28,7 +28,7 @@ def op3_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "source", "mix_epoch", "mix_slot")
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "source", "mix_epoch", "mix_slot", "mix_place")
 
 
 def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +75,13 @@ gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN
 kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) a WHERE NOT EXISTS (FROM gone g WHERE g.doc_id = a.doc_id AND g.p = a.p) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
 
+# Base32 takes 20 bits, which are five hex digits, to four letters.
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), r AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS s, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(s, (5 * (i // 4) + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) % 32 + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id > f THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > f THEN f END AS refers_to
+FROM r"""
+
 OP6_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g FROM d),
@@ -94,4 +101,4 @@ FROM p GROUP BY conv_id"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op5_warc_bundles": OP5_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL}

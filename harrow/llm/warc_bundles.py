@@ -19,12 +19,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidied
+from .common import bit_filter, shared_dir, tidied, with_maybe, written
 
 #: Fixed values of the seekable format and of WARC 1.1.
 SKIPPABLE_MAGIC, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 8 << 20
+#: Parts that the pages of one payload are dealt over when they look up the first of them.
+SALTS = 64
 SCHEMA = "bundle string, data binary, records array<struct<record_id: long, frame: int, offset: long, length: long>>"
 
 
@@ -116,12 +118,26 @@ def read_frame(data: bytes, frame: int) -> bytes:
 def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """pages (page_id, url, html) with payload, size, sha1 and refers_to: of equal payloads of least_bytes or more, all but the
     smallest page_id refer to that. Equal means equal SHA-256. Null html is empty; rows without a page_id are left out;
-    a page_id that comes twice gives two records."""
+    a page_id that comes twice gives two records; other columns are not read.
+
+    Pages of one payload only meet as ids and digests, dealt over SALTS parts; payloads that occur once aren't shuffled at all,
+    the others by page.
+    """
+    folder = shared_dir(pages.sparkSession)
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     rows = pages.filter("page_id IS NOT NULL").select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "sha1": F.sha1("payload"), "sha256": F.unhex(F.sha2("payload", 256))})
-    groups = rows.filter(F.col("size") >= least_bytes).groupBy("sha256").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).filter("first < last").select("sha256", "first")
-    return rows.join(groups, "sha256", "left").select("page_id", "url", "size", "sha1", F.when(F.col("page_id") > F.col("first"), F.col("first")).alias("refers_to"), F.when(F.coalesce(F.col("page_id") <= F.col("first"), F.lit(True)), F.col("payload")).alias("payload"))
+    narrow = rows.filter(F.col("size") >= least_bytes).select("page_id", "sha256")
+    groups = narrow.groupBy("sha256").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).filter("first < last").select("sha256", "first")
+    groups = written(groups, folder, "groups")
+    repeated = bit_filter(groups, "sha256")
+    salted = with_maybe(narrow, repeated, "sha256", "_hit").filter("_hit").withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    firsts = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    refers = written(salted.join(firsts, ["sha256", "_salt"]).filter("page_id > first").select("page_id", "sha256", "first").distinct(), folder, "refers")
+    marked = with_maybe(rows, repeated, "sha256", "_hit")
+    joined = marked.filter("_hit").join(refers, ["page_id", "sha256"], "left")
+    out = joined.unionByName(marked.filter("NOT _hit").withColumn("first", F.lit(None).cast("long")))
+    return out.select("page_id", "url", "size", "sha1", F.col("first").alias("refers_to"), F.when(F.col("first").isNull(), F.col("payload")).alias("payload"))
 
 
 def bundles(pages: DataFrame, least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
@@ -184,11 +200,26 @@ def read(bundled: DataFrame) -> DataFrame:
 
 
 def fetch(bundled: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The wanted (record_id) records' bytes: each is cut out of the one frame that holds it."""
+    """The wanted (record_id) records' bytes: each is cut out of the one frame that holds it.
 
-    @F.udf("binary")
-    def cut(data: bytes, frame: int, offset: int, length: int) -> bytes:
-        return read_frame(data, frame)[offset : offset + length]
+    Each bundle with a wanted record goes to one task once, with the places of its records; a frame is unpacked once. Bundles without one
+    aren't shuffled. Ids that aren't there or are null give no row.
+    """
+    places = index(bundled).join(wanted.select(F.col("record_id").cast("long")).distinct(), "record_id", "left_semi")
+    places = places.groupBy("bundle").agg(F.array_sort(F.collect_list(F.struct("frame", "offset", "length", "record_id"))).alias("places"))
+    places = written(places, shared_dir(bundled.sparkSession), "places")
 
-    places = index(bundled).join(wanted.select("record_id").distinct(), "record_id", "left_semi")
-    return places.join(bundled.select("bundle", "data"), "bundle").select("record_id", cut("data", "frame", "offset", "length").alias("record"))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                data, open_frame, frame = batch.column(0)[k].as_buffer().to_pybytes(), None, b""
+                ids, records = [], []
+                for place in batch.column(1)[k].as_py():
+                    if place["frame"] != open_frame:
+                        open_frame, frame = place["frame"], read_frame(data, place["frame"])
+                    ids.append(place["record_id"])
+                    records.append(frame[place["offset"] : place["offset"] + place["length"]])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(records, pa.binary())], ["record_id", "record"])
+
+    needed = with_maybe(bundled.select("bundle", "data"), bit_filter(places, "bundle"), "bundle", "_hit").filter("_hit")
+    return needed.join(places, "bundle").select("data", "places").mapInArrow(tidied(cut), "record_id long, record binary")
