@@ -235,10 +235,11 @@ def guess_town(x: Column | str) -> Column:
 
 def classify(x: Column | str, collection: Column) -> Column:
     """struct(category, confidence, secondary): the first strong rule that fits, else the first weak one, else the collection's default."""
-    return let(norm(x), lambda t: _classified(t, collection))
+    return let(norm(x), lambda t: classified(t, collection))
 
 
-def _classified(t: Column, collection: Column) -> Column:
+def classified(t: Column, collection: Column) -> Column:
+    """classify() of a text that is folded already."""
     rules = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(s).alias("confidence"), t.rlike(p).alias("fits")) for p, c, s in CATEGORY_RULES])
     return let(F.filter(rules, lambda r: r["fits"]), lambda fits: _best_rule(fits, collection))
 

@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.operators import health, ledger, metrics
 from harrow.plans.tables import table
+from harrow.sources.shared import shared_folder as _folder
 from harrow.streaming import flows
 
 
-def _folder(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="harrow-")
-    return f"{root.rstrip('/')}/harrow-{uuid.uuid4().hex}"
-
-
 def funnel_counts(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events").select(F.col("event_type").alias("stage"), F.when(F.col("value") > 5, "passed").otherwise("rejected").alias("outcome"))
     return metrics.funnel(rows)

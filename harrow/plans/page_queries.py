@@ -126,8 +126,10 @@ def robots_allowed(spark: SparkSession, d: str) -> DataFrame:
 def classify_documents(spark: SparkSession, d: str) -> DataFrame:
     words = F.element_at(F.array(*[F.lit(x) for x in ("Exposició de Gaudí", "concert de jazz", "taller infantil", "arte y pintura", "ruta pel parc", "Gràcia mercat", "nothing here")]), (F.col("doc_id") % 7 + 1).cast("int"))
     collection = F.element_at(F.array(*[F.lit(x) for x in ("plans", "shows", "museums")]), (F.col("doc_id") % 3 + 1).cast("int"))
-    c = V.classify(F.concat_ws(" ", words, "text"), collection)
-    return table(spark, d, "documents").select("doc_id", c["category"].alias("category"), c["confidence"].alias("confidence"), F.array_join(F.array_sort(c["secondary"]), ",").alias("secondary"), V.public_group(c["category"]).alias("public_group"), V.guess_district(words).alias("district"), F.array_join(V.derive_tags(words, c["category"], F.col("source")), ",").alias("tags"))
+    # The folded text and its class are columns of their own, so that Spark computes them once however often they are used.
+    rows = table(spark, d, "documents").select("doc_id", "source", words.alias("words"), collection.alias("collection"), T.norm(F.concat_ws(" ", words, "text")).alias("folded"))
+    rows, words, c = rows.withColumn("c", V.classified(F.col("folded"), F.col("collection"))).drop("folded"), F.col("words"), F.col("c")
+    return rows.select("doc_id", c["category"].alias("category"), c["confidence"].alias("confidence"), F.array_join(F.array_sort(c["secondary"]), ",").alias("secondary"), V.public_group(c["category"]).alias("public_group"), V.guess_district(words).alias("district"), F.array_join(V.derive_tags(words, c["category"], F.col("source")), ",").alias("tags"))
 
 
 def _classify_sql() -> str:

@@ -59,6 +59,12 @@ def canonical(x: str) -> str:
     return f"regexp_replace({host(x)}, '^www\\.', '') || regexp_replace({path(x)}, '/+$', '')"
 
 
+def clip(x: str, most: int) -> str:
+    cut = f"left({x}, {most})"
+    space = f"({most} - instr(reverse({cut}), ' '))"
+    return f"CASE WHEN length({x}) <= {most} THEN {x} ELSE regexp_replace(CASE WHEN contains({cut}, ' ') AND {space} > {most * 0.6} THEN left({x}, {space}) ELSE {cut} END, '[\\s\\x{{00a0}}]+$', '') || '…' END"
+
+
 def half_up(x: str, places: int = 0) -> str:
     return f"(floor(({x}) * {10.0**places} + 0.5) / {10.0**places})" if places else f"floor(({x}) + 0.5)"
 

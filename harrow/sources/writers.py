@@ -11,6 +11,11 @@ def sorted_ndjson(rows: DataFrame, path: str, key: list[str]) -> None:
     rows.repartitionByRange(*key).sortWithinPartitions(*key).write.mode("overwrite").json(path)
 
 
+def pretty_json(rows: DataFrame, path: str) -> None:
+    """Overwrites a folder with one indented JSON document for each row, nulls left out."""
+    rows.select(F.to_json(F.struct(*rows.columns), {"pretty": "true"})).write.mode("overwrite").text(path)
+
+
 def append_log(rows: DataFrame, path: str, at: str = "at") -> None:
     """Appends to a log partitioned by month."""
     rows.withColumn("month", F.date_format(at, "yyyy-MM")).write.mode("append").partitionBy("month").parquet(path)

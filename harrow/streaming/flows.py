@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from harrow.operators.batches import unseen
 from harrow.operators.health import DAYS_TO_DISABLE, EMPTY_JUMP, LEAST_SHARE, RUNS
 
 
@@ -45,6 +46,19 @@ def first_sights(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.select(*key).dropDuplicates(key)
 
 
+def replayed(results: DataFrame, folder: str, key: str = "custom_id") -> DataFrame:
+    """Writes each key's first result once, however often its files are read again, and returns the table: what is there already is joined out of each batch."""
+    out, schema = f"{folder}/results", results.schema
+
+    def add(rows: DataFrame, _: int) -> None:
+        done = rows.sparkSession.read.schema(schema).parquet(out)
+        unseen(rows, done, key).write.mode("append").parquet(out)
+
+    results.sparkSession.createDataFrame([], schema).write.mode("ignore").parquet(out)
+    results.writeStream.foreachBatch(add).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return results.sparkSession.read.schema(schema).parquet(out)
+
+
 HEALTH = "source_id string, run timestamp, extracted bigint, empty_rate double, degraded boolean, streak int, status string"
 
 
