@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FENCE = r"(?s)^\s*```(?:json)?\s*(.*?)\s*```\s*$"
+#: A fence stands on lines of its own.
+FENCE = r"(?s)^\s*```(?:json)?\s*\n(.*?)\n\s*```\s*$"
 
 
 def first_balanced(text: str | None) -> str | None:

@@ -206,3 +206,40 @@ def test_transit_hints(spark):
     places = spark.createDataFrame([(1, 41.38, 2.17)], "ord long, lat double, lng double")
     stops = spark.createDataFrame([("Liceu", "metro", 41.381, 2.17), ("Liceu", "metro", 41.3805, 2.17), ("Far", "bus", 41.5, 2.17), ("Drassanes", "metro", 41.378, 2.17)], "name string, kind string, lat double, lng double")
     assert matching.transit_hints(places, stops).first().hints == ["metro Liceu · 60 m", "metro Drassanes · 220 m"]
+
+
+def test_pretty_json(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", None), (2, None, "é")], "id int, x string, y string")
+    writers.pretty_json(rows, str(tmp_path / "pretty"))
+    text = "\n".join(p.read_text() for p in sorted((tmp_path / "pretty").glob("part-*")))
+    assert '  "id" : 1' in text and '  "y" : "é"' in text and "null" not in text
+
+
+def test_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from harrow.sources import shared
+
+    assert shared.shared_folder(spark) != shared.shared_folder(spark)
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared.checkpoint_root(cluster)
+
+
+def test_small_clusters(spark):
+    from harrow.operators import briefs
+
+    columns = "titles array<string>, venue_name string, address string, neighbourhood string, district string, lat double, lng double, transit_hints array<string>, date_summary string, schedule_lines array<string>, price_texts array<string>, official_url string, tickets_url string, source_ids array<string>, extracts array<string>"
+    rows = spark.createDataFrame([(None,) * 15, (["t"], "v", "a", None, "d", 41.5, 2.0, [], "f", None, [], None, None, ["s"], ["x" * 9000] * 3)], columns)
+    got = [(r.material, r.material_tokens) for r in briefs.with_material(rows, most=300).collect()]
+    assert got[0][0].startswith("TITULOS_ORIGEN: \nLUGAR:  — \nBARRIO: ? · DISTRITO: ?\nCOORDENADAS: , \nTRANSPORTE: —\n") and got[0][0].endswith("FUENTES: \n--- EXTRACTOS (datos, no texto a copiar) ---")
+    assert "[1] " in got[1][0] and "[2] " not in got[1][0] and got[1][1] <= 300 and "COORDENADAS: 41.5, 2\n" in got[1][0]
+    clipped = briefs.with_material(rows, most=100).collect()[1].material
+    assert len(clipped) <= 301 and clipped.endswith("…")
+
+
+def test_fence_on_own_lines(spark):
+    from harrow.functions import loose_json
+
+    rows = spark.createDataFrame([("```json\n{\"a\": 1}\n```",), ("```json {\"a\": 1}```",)], "x string").select(loose_json.parse(F.col("x")).alias("p")).select("p.via", "p.json").collect()
+    assert [(r.via, r.json) for r in rows] == [("fence", '{"a": 1}'), ("balanced", '{"a": 1}')]
