@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harrow.sources.shared import shared_folder
+
 #: Bytes of text that a task hashes at once; numpy needs about forty times as much for it.
 SLICE_BYTES = 1 << 18
 #: The bytes that part words: space and the controls 9 to 13.
@@ -31,12 +31,8 @@ _R2 = np.uint64(0xD6E8FEB86659FD93)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder in the one that the cluster names in spark.checkpoint.dir; that setting is made only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="harrow-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/harrow-{uuid.uuid4().hex}"
+    """A new folder in the one that the cluster names in spark.checkpoint.dir; where it is unset, a local session gets a temporary one, any other an error."""
+    return shared_folder(spark)
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -207,7 +203,8 @@ def joined_salted(rows: DataFrame, keys: DataFrame, on: list[str], by: str) -> D
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Sets the session's Arrow batches to BATCH_ROWS rows, if they are larger."""
+    """Sets the session's Arrow batches to BATCH_ROWS rows, if they are larger. The queries and stages call it, so it stays in force for the
+    session; operators used on their own don't change the session."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name)) > BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))

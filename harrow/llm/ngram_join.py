@@ -272,12 +272,12 @@ def _frequent(docs: DataFrame, digests: DataFrame, folder: str, n: int, percent:
 
 
 def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links of each row of docs (doc_id, text).
+    """doc_id, n_shingles, component_id and n_checked of each row of docs (doc_id, text).
 
     A document's set: the distinct n-word runs of its text with A-Z in lower case; with fewer words all of them as one; null, empty
     and blank texts have the empty set, linked with nothing. Two documents link when 100 * common >= percent * together.
-    component_id is the smallest doc_id reachable by links; n_links counts the links to other sets that were verified
-    on the way (at least one wherever there is one; copies not counted). Rows of equal doc_id count as one document of as
+    component_id is the smallest doc_id reachable by links; n_checked counts the links to other sets that were verified
+    on the way: at least one wherever there is one, not all; copies not counted. Rows of equal doc_id count as one document of as
     many sets, joined; rows without a doc_id are left out; other columns are not read.
     """
     folder = shared_dir(docs.sparkSession)
@@ -312,7 +312,7 @@ def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     components = connected_components(joined, f"{folder}/components2").withColumnRenamed("id", "doc_id")
     counts = linked.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").count()
     out = digests.groupBy("doc_id").agg(F.max("size").alias("n_shingles")).join(components, "doc_id", "left").join(counts, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("count", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("count", F.lit(0)).alias("n_checked"))
 
 
 def _shared_only(rows: DataFrame, copies: DataFrame) -> DataFrame:

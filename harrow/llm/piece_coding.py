@@ -50,11 +50,14 @@ class PieceVocabulary:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
+        first = sp.piece_to_id("<0x00>")
+        if first + 255 >= len(pieces) or not all(sp.is_byte(first + b) for b in range(256)):
+            raise ValueError("the model has no pieces for bytes, which characters outside its pieces need")
         plain = [not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) for i in range(len(pieces))]
         for piece in (p for p, ok in zip(pieces, plain, strict=True) if ok):
             if "\n" in piece and len(piece) > 1 or MARK in piece.lstrip(MARK):
                 raise ValueError(f"the piece {piece!r} crosses words")
-        return cls([p if ok else "" for p, ok in zip(pieces, plain, strict=True)], path_scores([sp.get_score(i) for i in range(len(pieces))]), sp.piece_to_id("<0x00>"))
+        return cls([p if ok else "" for p, ok in zip(pieces, plain, strict=True)], path_scores([sp.get_score(i) for i in range(len(pieces))]), first)
 
     def __reduce__(self):
         return PieceVocabulary, (self.pieces, self.scores, self.bytes_first)

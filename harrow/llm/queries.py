@@ -37,7 +37,7 @@ def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar_groups(_table(spark, sf_dir, "documents")).drop("n_links")
+    return ngram_join.similar_groups(_table(spark, sf_dir, "documents")).drop("n_checked")
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
