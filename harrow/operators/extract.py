@@ -193,6 +193,26 @@ def is_detail(url: Column, listings: tuple[str, ...] = ("tag", "category", "page
     return (F.size(s) >= 2) & ~F.arrays_overlap(s, F.array(*[F.lit(x) for x in listings]))
 
 
+#: Path parts that no record's page has, and the least length of its last part.
+NEVER_DETAIL, LEAST_SLUG = r"(?i)/(tag|tags|categoria|category|author|autor|page|pagina|search|buscar|feed|wp-json|wp-admin|amp)/", 8
+
+
+def looks_like_detail(url: Column) -> Column:
+    """Whether an address looks like one record's page by its last path part: long, with a hyphen, below no listing."""
+    last = F.element_at(segments(url), -1)
+    return F.coalesce(~url.rlike(NEVER_DETAIL) & (F.size(segments(url)) > 0) & (F.length(last) >= LEAST_SLUG) & F.contains(last, F.lit("-")), F.lit(False))
+
+
+def dispatched(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """urls (source_id, url) with detail and collection by their source's rule (source_id, any_url, detail_pattern, collection_pattern,
+    matched_collection, default_collection): any address, those that fit a pattern, or else those that look like a detail page; the matched
+    collection if its pattern fits, else the default. Sources without a rule have no collection."""
+    joined = urls.join(rules, "source_id", "left")
+    detail = F.when(F.coalesce("any_url", F.lit(False)), True).when(F.col("detail_pattern").isNotNull(), F.rlike("url", F.col("detail_pattern"))).otherwise(looks_like_detail(F.col("url")))
+    kind = F.when(F.coalesce(F.rlike("url", F.col("collection_pattern")), F.lit(False)), F.col("matched_collection")).otherwise(F.col("default_collection"))
+    return joined.select(*urls.columns, detail.alias("detail"), kind.alias("collection"))
+
+
 def one_per_address(pages: DataFrame) -> DataFrame:
     """The page with the smallest page_id of each address without fragment."""
     w = Window.partitionBy(without_fragment("url")).orderBy("page_id")

@@ -30,8 +30,14 @@ def diversify(rows: DataFrame, limit: int, threshold: float = 62, fallback: floa
 
     First pass, by total downwards and ord: rows from the threshold on that break no quota. Second pass, for each unmet minimum: the
     best of the rows left that serve it, not vetoed, from the fallback on; quotas don't hold there. Each group of `by` is selected on
-    its own. A category takes few rows, so only the best of each class can be picked: before the groups are gathered,
-    those that no pass could reach are set apart by rank.
+    its own. Before the groups are gathered, rows that no pass could reach are set apart by rank, so a group has a number of rows
+    that `limit` and the number of categories bound; their outcome is "not reached" (or "below threshold"), not the quota that
+    they would have broken.
+
+    Why those bounds: all better rows of a row's class (category, cheap, timeless, vetoed, above the threshold) were picked or stand in a
+    venue or neighbourhood that is used up, and picks use up `limit` venues and neighbourhoods at most. So in a class a neighbourhood's
+    first limit + 1 venues count, a venue's first limit + 1 neighbourhoods, and of what is left as many as that many venues and
+    neighbourhoods can cover, and one. The second pass takes the best rows of a class that are left, which are among its first `limit`.
     """
     key = [by] if by else []
     out_type = "pick int, outcome string"
@@ -39,6 +45,12 @@ def diversify(rows: DataFrame, limit: int, threshold: float = 62, fallback: floa
     w = Window.partitionBy(*key, "category", "neighbourhood", "venue", "cheap", "timeless", "vetoed", F.col("total") >= threshold).orderBy(F.desc("total"), "ord")
     ranked = rows.withColumn("_rank", F.row_number().over(w))
     near = ranked.filter((F.col("_rank") <= limit) & (F.col("total") >= min(fallback, threshold)))
+    kind_of = [*key, "category", "cheap", "timeless", "vetoed", F.col("total") >= threshold]
+    cell = F.to_json(F.struct(*key, "category", "neighbourhood", "venue", "cheap", "timeless", "vetoed", (F.col("total") >= threshold).alias("above")), {"ignoreNullFields": "false"})
+    place = lambda *on: F.row_number().over(Window.partitionBy(*kind_of, *on).orderBy(F.desc("total"), "ord"))
+    cells = near.filter("_rank = 1").withColumns({"_cell": cell, "_venues": place("neighbourhood"), "_places": place("venue")}).filter((F.col("_venues") <= limit + 1) & (F.col("_places") <= limit + 1))
+    cells = cells.withColumn("_all", place()).filter(F.col("_all") <= 2 * limit * (limit + 1) + 1)
+    near = near.withColumn("_cell", cell).join(cells.select("_cell"), "_cell", "left_semi").drop("_cell")
     names = ["ord", "total", "category", "neighbourhood", "venue", "cheap", "timeless", "vetoed"]
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harrow.functions import identity as I
 from harrow.functions import values as V
-from harrow.operators import batches, briefs, cards, changes, matching, selection, verify
+from harrow.operators import batches, briefs, cards, changes, extract, matching, selection, verify
 from harrow.plans import sql as Q
 from harrow.plans.tables import NOW, table
 from harrow.sources import readers
@@ -269,7 +269,24 @@ def volatile_hashes(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", I.change_hash(slots, F.col("price"), F.array(F.lit("Gratis domingos"), F.lit("A")), F.when(_key() % 2 == 0, "Miró"), F.lit("2001-07-01")).alias("digest"))
 
 
+_RULES = (("a", False, None, "(?i)/(teatre|doc)", "shows", "plans"), ("b", False, "(?i)/(item|article|p)", None, None, "museums"), ("c", True, None, None, None, "museums"))
+
+
+def dispatched_urls(spark: SparkSession, d: str) -> DataFrame:
+    rules = spark.createDataFrame(_RULES, "source_id string, any_url boolean, detail_pattern string, collection_pattern string, matched_collection string, default_collection string")
+    urls = table(spark, d, "pages").select("page_id", _pick(("a", "b", "c", "d"), F.col("page_id")).alias("source_id"), F.when(F.col("page_id") % 5 == 0, F.concat("url", F.lit("/a-long-record-name"))).otherwise(F.col("url")).alias("url"))
+    return extract.dispatched(urls, rules).select("page_id", "detail", "collection")
+
+
+def _dispatch_sql() -> str:
+    parts = f"list_filter(string_split({Q.path('u')}, '/'), lambda x: x <> '')"
+    looks = f"coalesce(NOT regexp_matches(u, '{extract.NEVER_DETAIL}') AND len({parts}) > 0 AND length({parts}[-1]) >= {extract.LEAST_SLUG} AND contains({parts}[-1], '-'), false)"
+    return f"""WITH p AS (SELECT page_id, ['a', 'b', 'c', 'd'][page_id % 4 + 1] AS s, CASE WHEN page_id % 5 = 0 THEN url || '/a-long-record-name' ELSE url END AS u FROM pages)
+SELECT page_id, CASE s WHEN 'c' THEN true WHEN 'b' THEN regexp_matches(u, '{_RULES[1][2]}') ELSE {looks} END AS detail, CASE s WHEN 'a' THEN CASE WHEN regexp_matches(u, '{_RULES[0][3]}') THEN 'shows' ELSE 'plans' END WHEN 'b' THEN 'museums' WHEN 'c' THEN 'museums' END AS collection FROM p"""
+
+
 QUERIES = {
+    "dispatched_urls": (dispatched_urls, _dispatch_sql()),
     "bounded_material": (bounded_material, _material_sql()),
     "screening_texts": (screening_texts, _SCREEN_SQL),
     "decision_log": (decision_log, _LOG_SQL),

@@ -243,3 +243,31 @@ def test_fence_on_own_lines(spark):
 
     rows = spark.createDataFrame([("```json\n{\"a\": 1}\n```",), ("```json {\"a\": 1}```",)], "x string").select(loose_json.parse(F.col("x")).alias("p")).select("p.via", "p.json").collect()
     assert [(r.via, r.json) for r in rows] == [("fence", '{"a": 1}'), ("balanced", '{"a": 1}')]
+
+
+@pytest.mark.parametrize("venues,places,limit", [(10**6, 3, 5), (4, 10**6, 5), (10**6, 10**6, 8), (3, 3, 6)])
+def test_diversify_prunes_no_pick(spark, venues, places, limit):
+    """Picks equal the plain loop's over all rows, however many venues and neighbourhoods there are."""
+    rng = random.Random(venues + places)
+    rows = [(i, rng.randrange(50, 90) + rng.randrange(4) / 4, rng.choice("abc"), f"n{rng.randrange(places)}" if rng.random() < 0.9 else None, f"v{rng.randrange(venues)}", rng.random() < 0.05, rng.random() < 0.5, rng.random() < 0.2) for i in range(900)]
+    q, used, have, picks, left = selection.Quotas(), {}, {"cheap": 0, "timeless": 0, "seasonal": 0}, [], []
+
+    def take(r):
+        picks.append(r[0])
+        for k, v in zip(("category", "neighbourhood", "venue"), r[2:5], strict=True):
+            used[k, v] = used.get((k, v), 0) + 1
+        have["cheap"] += r[5]
+        have["timeless" if r[6] else "seasonal"] += 1
+
+    for r in sorted(rows, key=lambda r: (-r[1], r[0])):
+        if len(picks) < limit:
+            if r[1] >= 62 and all(used.get((k, v), 0) < getattr(q, k) for k, v in zip(("category", "neighbourhood", "venue"), r[2:5], strict=True)):
+                take(r)
+            else:
+                left.append(r)
+    for need, serves in (("cheap", lambda r: r[5]), ("timeless", lambda r: r[6]), ("seasonal", lambda r: not r[6])):
+        while have[need] < getattr(q, need) and len(picks) < limit and (found := next((r for r in left if r[0] not in picks and serves(r) and not r[7] and r[1] >= 55), None)):
+            take(found)
+    df = spark.createDataFrame(rows, "ord long, total double, category string, neighbourhood string, venue string, cheap boolean, timeless boolean, vetoed boolean")
+    got = selection.diversify(df, limit).filter("pick IS NOT NULL").orderBy("pick").collect()
+    assert [r.ord for r in got] == picks
