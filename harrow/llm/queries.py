@@ -100,5 +100,17 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM p GROUP BY conv_id"""
 
 
+# Pairs of lines with words that follow each other, their first place each, and the lines that go with a later one.
+OP8_SQL = """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+f AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), lambda i: regexp_matches(l[i], '[^ \\t\\x0B\\f\\r]')) AS filled FROM d),
+p AS (SELECT doc_id, filled[k] AS i, filled[k + 1] AS j, array_to_string(list_slice(l, filled[k], filled[k + 1]), chr(10)) AS pair FROM (SELECT doc_id, l, filled, unnest(range(1, len(filled))) AS k FROM f WHERE len(filled) > 1)),
+o AS (SELECT *, min({'doc_id': doc_id, 'i': i}) OVER (PARTITION BY pair) AS low FROM p),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS n FROM o WHERE doc_id <> low.doc_id OR i > low.i + 1),
+r AS (SELECT doc_id, n, l[n] || CASE WHEN n < len(l) THEN chr(10) ELSE '' END AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS n FROM d)),
+kept AS (SELECT doc_id, string_agg(line, '' ORDER BY n) AS t FROM r WHERE NOT EXISTS (FROM gone g WHERE g.doc_id = r.doc_id AND g.n = r.n) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(t, '') END AS text, (coalesce(strlen(d.text), 0) - coalesce(strlen(t), 0))::BIGINT AS n_removed FROM d LEFT JOIN kept USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op5_warc_bundles": OP5_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op5_warc_bundles": OP5_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL, "op8_line_dedup": OP8_SQL}
