@@ -1,4 +1,5 @@
-"""Text folding, n-grams, similarity and clipping as Column builders; all but exact_fold run inside Spark's code generation."""
+"""Text folding, n-grams, similarity and clipping as Column builders. All but exact_fold stay in the JVM; what uses let() is interpreted there,
+as higher-order functions are, so where an expression is used often, a column of its own is the better way."""
 
 from __future__ import annotations
 
