@@ -175,7 +175,7 @@ def aligned(tokenised: DataFrame) -> DataFrame:
 def group_text(groups: Column) -> Column:
     """`a1,a2|b1;a3|b2,b3`: the ids of each group."""
     ids = lambda x: F.array_join(x.cast("array<string>"), ",")
-    one = lambda pair: F.concat(F.shiftright(pair, 32).cast("string"), F.lit("|"), pair.cast("int").cast("string"))
+    one = lambda pair: F.concat(F.shiftright(pair, 32).cast("string"), F.lit("|"), pair.bitwiseAND(F.lit((1 << 32) - 1)).cast("string"))
     return F.array_join(F.transform(groups, lambda g: F.when(g["pair"].isNotNull(), one(g["pair"])).otherwise(F.concat(ids(g["a"]), F.lit("|"), ids(g["b"])))), ";")
 
 
