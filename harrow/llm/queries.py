@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_coding, chat_format, graph_search, line_dedup, mixing, ngram_join, phrase_fingerprint, piece_coding, substring_dedup, token_alignment, toxicity, warc_bundles
+from . import byte_coding, chat_format, graph_search, line_dedup, mixing, ngram_join, phrase_fingerprint, piece_coding, substring_dedup, token_alignment, toxicity, turn_repair, warc_bundles
 from .common import shared_dir, small_batches, written
 
 
@@ -61,6 +61,10 @@ def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.search_index(index, rows.filter("vec_id % 20 = 0"), 20)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.audited(_table(spark, sf_dir, "conversations"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(_table(spark, sf_dir, "documents"), groups=False)
 
@@ -70,7 +74,7 @@ def op13_byte_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op3_piece_coding, op4_mixing, op5_warc_bundles, op6_ngram_join, op7_chat_format, op8_line_dedup, op9_toxicity, op10_graph_search, op12_token_alignment, op13_byte_coding)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_phrase_fingerprint, op3_piece_coding, op4_mixing, op5_warc_bundles, op6_ngram_join, op7_chat_format, op8_line_dedup, op9_toxicity, op10_graph_search, op11_turn_repair, op12_token_alignment, op13_byte_coding)}
 
 
 WORDS = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
