@@ -13,7 +13,7 @@ import base64
 import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cache, cached_property
 from itertools import islice
 from struct import pack
 
@@ -42,11 +42,46 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def _ranges(points: set[int]) -> str:
+    """A set of characters for a pattern."""
+    firsts, lasts = (sorted(c for c in points if c + step not in points) for step in (-1, 1))
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts, lasts, strict=True)) + "]"
+
+
+@cache
+def as_library(pattern: str) -> tuple[str, str]:
+    """pattern with the letters and numbers of the tiktoken library's Unicode version in place of this interpreter's, which may know more or
+    fewer; and a pattern of the characters that the versions differ on, empty if there are none.
+
+    Whether the library takes a character for a letter shows from a vocabulary that has a token for `a` with the character's first byte: the
+    two only meet if no piece ends between them. Numbers likewise behind `1`."""
+    import tiktoken
+
+    odd: set[int] = set()
+    points = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    for name, before in (("L", "a"), ("N", "1")):
+        pairs = {bytes([b]): b for b in range(256)} | {before.encode() + bytes([b]): 256 + b for b in range(0x80, 256)}
+        probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=pairs, special_tokens={})
+        theirs: set[int] = set()
+        for k in range(0, len(points), 1 << 14):
+            part = points[k : k + (1 << 14)]
+            ids = np.array(probe.encode_ordinary("".join(f"{before}{chr(c)}\n" for c in part)))
+            heads = np.concatenate([[0], np.flatnonzero(ids == 10)[:-1] + 1])
+            theirs.update(np.array(part)[ids[heads] >= 256].tolist())
+        ours = {ord(c) for c in regex.findall(rf"\p{{{name}}}", "".join(map(chr, points)))}
+        odd |= ours ^ theirs
+        if ours != theirs:
+            own = rf"\p{{{name}}}"
+            own = f"[{own}--{_ranges(ours - theirs)}]" if ours - theirs else own
+            pattern = pattern.replace(rf"\p{{{name}}}", f"[{own}||{_ranges(theirs - ours)}]" if theirs - ours else own)
+    return pattern, _ranges(odd) if odd else ""
+
+
 class ByteVocabulary:
     """Ranks of a byte-level BPE and the pattern that cuts texts. It is small (some ten thousand tokens) and travels with the task."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern = ranks, pattern
+    def __init__(self, ranks: dict[bytes, int], pattern: str, as_library: tuple[str, str] = ("", "")):
+        self.ranks, self.pattern, self.as_library = ranks, pattern, as_library
         self._pairs: dict[int, bool] = {}
         self._codes: dict[str, bytes] = {}
 
@@ -55,14 +90,15 @@ class ByteVocabulary:
         """The ranks of a file with one base64 token and its rank a line. An error if a byte has no token or merging doesn't reach a token."""
         with open(path or default_ranks(), "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, map(bytes.strip, file)))}
-        out = cls(ranks, pattern or default_pattern())
+        pattern = pattern or default_pattern()
+        out = cls(ranks, pattern, as_library(pattern))
         lost = [t for t in [*map(bytes, zip(range(256))), *ranks] if t not in ranks or out.merged(t) != [ranks[t]]]
         if lost:
             raise ValueError(f"{len(lost)} tokens can't be had by merging bytes, such as {lost[0]!r}")
         return out
 
     def __reduce__(self):
-        return _shared, (self.ranks, self.pattern)
+        return _shared, (self.ranks, self.pattern, self.as_library)
 
     @cached_property
     def tokens(self) -> dict[int, bytes]:
@@ -73,8 +109,14 @@ class ByteVocabulary:
         return max(map(len, self.ranks))
 
     @cached_property
-    def split(self) -> regex.Pattern:
-        return regex.compile(self.pattern)
+    def _splits(self) -> tuple[regex.Pattern, regex.Pattern, regex.Pattern | None]:
+        exact, odd = self.as_library
+        return regex.compile(self.pattern), regex.compile(exact or self.pattern, regex.VERSION1), regex.compile(odd) if odd else None
+
+    def split(self, text: str) -> regex.Pattern:
+        """What cuts the text: the pattern as it is, unless a character needs the slower one that knows the library's Unicode version."""
+        plain, exact, odd = self._splits
+        return exact if odd and not text.isascii() and odd.search(text) else plain
 
     @cached_property
     def endings(self):
@@ -158,8 +200,9 @@ class ByteVocabulary:
     def encode_text(self, text: str) -> Iterator[bytes]:
         """The ids of a text, in parts of AT_ONCE pieces."""
         known, own = self._codes, self.encode_piece
-        found = self.split.finditer(text)
-        while part := [m[0] for m in islice(found, AT_ONCE)] if len(text) > AT_ONCE else self.split.findall(text):
+        split = self.split(text)
+        found = split.finditer(text)
+        while part := [m[0] for m in islice(found, AT_ONCE)] if len(text) > AT_ONCE else split.findall(text):
             yield b"".join([known.get(p) or own(p) for p in part])
             if len(text) <= AT_ONCE:
                 return
@@ -169,7 +212,7 @@ class ByteVocabulary:
 
     def table(self, text: str) -> list[int]:
         """The last token of each byte prefix of each piece, piece after piece."""
-        return [t for m in self.split.finditer(text) for t in self.fill(m[0].encode(), [])[0]]
+        return [t for m in self.split(text).finditer(text) for t in self.fill(m[0].encode(), [])[0]]
 
     def edited(self, text: str, last: list[int], at: int, removed: int, inserted: str) -> tuple[str, list[int], int]:
         """(new text, its table, bytes whose token was looked for) after `removed` characters at `at` of text gave way to `inserted`.
@@ -178,13 +221,14 @@ class ByteVocabulary:
         piece that starts where an old one does has only old pieces behind it. A piece in between takes what it can from the old table.
         """
         new, shift, tail = text[:at] + inserted + text[at + removed :], len(inserted) - removed, at + len(inserted)
-        starts = [m.start() for m in self.split.finditer(text)]
+        split = self.split(text + inserted)
+        starts = [m.start() for m in split.finditer(text)]
         number, stops = {s: k for k, s in enumerate(starts)}, [*starts[1:], len(text)]
         ending = {e: k for k, e in enumerate(stops)}
         place = lambda i: len(text[:i].encode())
         begin = starts[max(0, bisect_right(starts, at - 2) - 1)] if starts else 0
         out, looked = last[: place(begin)], 0
-        for m in self.split.finditer(new, begin):
+        for m in split.finditer(new, begin):
             s, e, held, old, same = m.start(), m.end(), [], [], 0
             if s >= tail and s - shift in number:
                 return new, out + last[place(s - shift) :], looked
@@ -201,10 +245,10 @@ class ByteVocabulary:
 _last: list[ByteVocabulary] = []
 
 
-def _shared(ranks: dict[bytes, int], pattern: str) -> ByteVocabulary:
+def _shared(ranks: dict[bytes, int], pattern: str, as_library: tuple[str, str]) -> ByteVocabulary:
     """In a worker: the vocabulary of the task before, with what it remembers, if it is the same one."""
-    if not _last or (_last[0].pattern, _last[0].ranks) != (pattern, ranks):
-        _last[:] = [ByteVocabulary(ranks, pattern)]
+    if not _last or (_last[0].pattern, _last[0].as_library, _last[0].ranks) != (pattern, as_library, ranks):
+        _last[:] = [ByteVocabulary(ranks, pattern, as_library)]
     return _last[0]
 
 

@@ -124,5 +124,38 @@ kept AS (SELECT doc_id, string_agg(line, '' ORDER BY n) AS t FROM r WHERE NOT EX
 SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(t, '') END AS text, (coalesce(strlen(d.text), 0) - coalesce(strlen(t), 0))::BIGINT AS n_removed FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+# CRC-32 bit by bit: a byte joins the first of its eight steps. A way is (cost, edits, repaired turns, each behind a newline); the best one from
+# each state on, w0 to w3, is known from behind a row to before it.
+_INSERT = "{{'c': {0}.c + 5, 'a': 'I' || {0}.a, 'r': chr(10) || '{1}:' || {0}.r}}"
+_BEST = "list_min([{}, {}])"
+_EDIT = "CASE WHEN {0} THEN {{'c': {1}.c + {2}, 'a': '{3}' || {1}.a, 'r': {4} || {1}.r}} END"
+_NEXT = {0: ("w2", "user"), 1: ("w2", "user"), 2: ("w3", "assistant"), 3: ("w2", "user")}
+_KEEP = {0: "CASE WHEN ini = 's' THEN w1 WHEN ini = 'u' THEN w2 END", 1: "CASE WHEN ini = 'u' THEN w2 END", 2: "CASE WHEN ini = 'a' THEN w3 END", 3: "CASE WHEN ini = 'u' THEN w2 END"}
+
+
+def _ways(state: int) -> str:
+    to, role = _NEXT[state]
+    keep = f"({_KEEP[state]})"
+    delete = _EDIT.format("true", f"w{state}", 2, "D", "''")
+    return f"list_min([{delete}, {_EDIT.format(f'good AND {keep} IS NOT NULL', keep, 'late', 'K', 'own')}, {_EDIT.format('good', to, '1 + late', 'R', f"chr(10) || '{role}:' || text")}]) AS r{state}"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+c AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, strlen(key) + 1), lambda i: [ascii(key[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295) % 20 AS f FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE f <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS ini, regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g') AS bare FROM d),
+s AS (SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au') AS ill FROM o),
+t AS (SELECT conv_id, i, ini, text, chr(10) || role || ':' || text AS own, blank, dup, turn, coalesce(ill, false) AS ill, NOT blank AND NOT dup AS good, CASE WHEN NOT blank AND NOT dup AND right(bare, 1) NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS late FROM s),
+n AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate, count(*) FILTER (late > 0) AS truncated, count(*) FILTER (ill) AS illegal FROM t GROUP BY conv_id),
+z AS (SELECT {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS z0),
+e AS (SELECT {_INSERT.format('z0', 'assistant')} AS z2, z0 FROM z),
+w AS (SELECT conv_id, n AS i, z0 AS w0, {_INSERT.format('z2', 'user')} AS w1, z2 AS w2, z0 AS w3 FROM n, e
+  UNION ALL SELECT conv_id, i, {_BEST.format('r0', _INSERT.format('b2', 'user'))}, {_BEST.format('r1', _INSERT.format('b2', 'user'))}, b2, {_BEST.format('r3', _INSERT.format('r2', 'user'))}
+  FROM (SELECT *, {_BEST.format('r2', _INSERT.format('r3', 'assistant'))} AS b2 FROM (SELECT w.conv_id, w.i - 1 AS i, {', '.join(map(_ways, range(4)))} FROM w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i)))
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(w0.c, 0) AS cost, coalesce(w0.a, '') AS audit, sha256(coalesce(substr(w0.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM a.conv_id AND w.i = 0"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op5_warc_bundles": OP5_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL, "op8_line_dedup": OP8_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op5_warc_bundles": OP5_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL, "op8_line_dedup": OP8_SQL, "op11_turn_repair": OP11_SQL}
