@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harrow.plans import brief_queries, log_queries, page_queries, record_queries
+from harrow.plans import brief_queries, log_queries, page_queries, record_queries, source_queries
 
-_ALL = page_queries.QUERIES | record_queries.QUERIES | log_queries.QUERIES | brief_queries.QUERIES
+_ALL = page_queries.QUERIES | record_queries.QUERIES | log_queries.QUERIES | brief_queries.QUERIES | source_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
