@@ -121,8 +121,8 @@ def stream_replayed(spark: SparkSession, d: str) -> DataFrame:
     folder = shared_folder(spark)
     rows = table(spark, d, "events").select(_text(F.col("event_type"), "-", F.col("user_id")).alias("custom_id"))
     for _ in range(2):
-        rows.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    return flows.replayed(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in"), folder)
+        rows.write.mode("append").parquet(f"{folder}/in")
+    return flows.replayed(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{folder}/in"), folder)
 
 
 def requested_sources(spark: SparkSession, d: str) -> DataFrame:

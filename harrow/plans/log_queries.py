@@ -113,6 +113,38 @@ def stream_first_sights(spark: SparkSession, d: str) -> DataFrame:
     return flows.drained(flows.first_sights(_stream(spark, d), ["event_type", "user_id"]), _folder(spark))
 
 
+def stream_sights_within(spark: SparkSession, d: str) -> DataFrame:
+    """The table is one batch, before which no watermark stands: of each key one row, whatever the span."""
+    rows = flows.first_sights_within(_stream(spark, d).select("event_type", "user_id", "ts"), ["event_type", "user_id"], "ts", "2 days")
+    return flows.drained(rows, _folder(spark)).select("event_type", "user_id")
+
+
+def stream_month_log(spark: SparkSession, d: str) -> DataFrame:
+    rows = _stream(spark, d).withColumn("ts", F.expr("ts + make_interval(0, cast(user_id % 3 as int))"))
+    return flows.logged(rows, _folder(spark), "ts").groupBy("month").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+def stream_batch_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """A user's events of one day are a batch, submitted at the first; most get a result up to 40 hours later. They arrive in four parts by time."""
+    folder = _folder(spark)
+    sent = table(spark, d, "events").groupBy("user_id", F.date_trunc("day", "ts").alias("day")).agg(F.min("ts").alias("at"), F.min("event_id").alias("low"))
+    sent = sent.select(F.concat_ws("-", "user_id", F.date_format("day", "dd")).alias("batch_id"), "at", "user_id", F.array(F.concat(F.lit("i"), "low")).alias("items"))
+    ready = sent.filter("user_id % 4 <> 0").select("batch_id", F.lit("ready").alias("kind"), F.expr("at + make_interval(0, 0, 0, 0, cast(user_id * 7 % 41 as int))").alias("at"), F.lit(None).cast("array<string>").alias("items"))
+    events = sent.select("batch_id", F.lit("submitted").alias("kind"), "at", "items").unionByName(ready)
+    for k in range(4):
+        week = F.least(F.lit(3), F.floor((F.dayofyear("at") - 1) / 8))
+        events.filter(week == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")  # one file a part, so that parts come in order
+    stream = spark.readStream.schema(flows.BATCH_EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    return flows.drained(flows.batch_outcomes(stream), folder).withColumn("at", F.date_trunc("second", "at"))
+
+
+_OUTCOMES = """s AS (SELECT user_id || '-' || strftime(ts, '%d') AS batch_id, any_value(user_id) AS user_id, min(ts) AS sent, 'i' || min(event_id) AS item FROM events GROUP BY 1),
+b AS (SELECT *, CASE WHEN user_id % 4 <> 0 THEN sent + to_hours((user_id * 7 % 41)::INT) END AS result, date_trunc('milliseconds', sent) + INTERVAL '26 hours 1 millisecond' AS due FROM s),
+w AS (SELECT greatest(max(sent), max(result)) - INTERVAL 1 HOUR AS passed FROM b),
+o AS (SELECT batch_id, 'ready' AS outcome, result AS moment, NULL AS item FROM b WHERE result < due UNION ALL SELECT batch_id, 'late', result, NULL FROM b WHERE result >= due
+  UNION ALL SELECT batch_id, unnest(['expired', 'requeued']), due, unnest([NULL, item]) FROM b, w WHERE due < passed AND NOT coalesce(result < due, false))"""
+
+
 def stream_health(spark: SparkSession, d: str) -> DataFrame:
     folder = _folder(spark)
     runs = _runs(spark, d)
@@ -135,5 +167,8 @@ QUERIES = {
     "stale_sources": (stale_sources, "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 6 <> 0 THEN date_diff('day', o_orderdate, TIMESTAMP '2001-06-15') END AS age_days FROM orders WHERE o_orderkey % 6 = 0 OR date_diff('day', o_orderdate, TIMESTAMP '2001-06-15') > 180"),
     "stream_daily_counts": (stream_daily_counts, "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"),
     "stream_first_sights": (stream_first_sights, "SELECT DISTINCT event_type, user_id FROM events"),
+    "stream_sights_within": (stream_sights_within, "SELECT DISTINCT event_type, user_id FROM events"),
+    "stream_month_log": (stream_month_log, "SELECT strftime(ts + to_months((user_id % 3)::INT), '%Y-%m') AS month, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1"),
+    "stream_batch_outcomes": (stream_batch_outcomes, f"WITH {_OUTCOMES} SELECT batch_id, outcome, date_trunc('second', moment)::TIMESTAMP AS \"at\", item FROM o"),
     "stream_health": (stream_health, f"WITH {_RUNS} SELECT source_id, run, degraded, streak, status FROM stated"),
 }

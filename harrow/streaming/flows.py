@@ -1,11 +1,12 @@
-"""The incremental flows as Structured Streaming: counts by day, first sights of a key, and health of sources as keyed state.
+"""The incremental flows as Structured Streaming: counts by day, first sights of a key, batches that are ready or expire, a log by month that a
+repeated batch doesn't double, results that come again, and health of sources as keyed state.
 
 Each takes a streaming DataFrame and runs what is available, so a scheduled run picks up where the last one ended.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from statistics import median
 
 import pandas as pd
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from harrow.operators.batches import unseen
+from harrow.operators.batches import EXPIRY_HOURS
 from harrow.operators.health import DAYS_TO_DISABLE, EMPTY_JUMP, LEAST_SHARE, RUNS
 
 
@@ -46,17 +47,126 @@ def first_sights(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.select(*key).dropDuplicates(key)
 
 
-def replayed(results: DataFrame, folder: str, key: str = "custom_id") -> DataFrame:
-    """Writes each key's first result once, however often its files are read again, and returns the table: what is there already is joined out of each batch."""
-    out, schema = f"{folder}/results", results.schema
+def first_sights_within(rows: DataFrame, key: list[str], at: str, span: str) -> DataFrame:
+    """rows, of each key the first to arrive within `span` of event time `at`. A key's state goes when the watermark, `span` behind the latest time,
+    passes its row's time by that much: what comes again after that counts as new, and what is older than the watermark is left out. Rows of one
+    batch with the same key give one of them; nulls in a key are equal to each other; a row without a time is left out."""
+    return rows.filter(F.col(at).isNotNull()).withWatermark(at, span).dropDuplicatesWithinWatermark(key)
 
-    def add(rows: DataFrame, _: int) -> None:
-        done = rows.sparkSession.read.schema(schema).parquet(out)
-        unseen(rows, done, key).write.mode("append").parquet(out)
 
-    results.sparkSession.createDataFrame([], schema).write.mode("ignore").parquet(out)
-    results.writeStream.foreachBatch(add).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return results.sparkSession.read.schema(schema).parquet(out)
+def _ddl(schema: StructType, more: str) -> str:
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), more])
+
+
+def _by_batch(stream: DataFrame, out: str, checkpoint: str, part: str, make: Callable[[DataFrame, int], DataFrame]) -> None:
+    """Runs a stream; what `make` gives of micro-batch n becomes the folder batch=n of out, by `part`. Spark's commit writes it whole or not at all and
+    a batch that is run again overwrites it, so a crash before the stream's own commit doubles nothing."""
+
+    def add(rows: DataFrame, number: int) -> None:
+        make(rows, number).write.mode("overwrite").partitionBy(part).parquet(f"{out}/batch={number}")
+
+    make(stream.sparkSession.createDataFrame([], stream.schema), -1).limit(0).write.mode("ignore").partitionBy(part).parquet(f"{out}/batch=-1")
+    stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def logged(stream: DataFrame, folder: str, at: str = "at") -> DataFrame:
+    """Appends a stream to a log in folder, each micro-batch once, and returns the log with the columns month and batch.
+
+    The log is partitioned by both, so a month is read from its own folders. Rows without a time go to the month 'none'.
+    """
+    out = f"{folder}/log"
+    _by_batch(stream, out, f"{folder}/checkpoint", "month", lambda rows, _: rows.withColumn("month", F.coalesce(F.date_format(at, "yyyy-MM"), F.lit("none"))))
+    return stream.sparkSession.read.schema(_ddl(stream.schema, "month string, batch long")).option("basePath", out).parquet(out)
+
+
+#: Folders that the keys of results are dealt over.
+KEY_PARTS = 64
+
+
+def replayed(results: DataFrame, folder: str, key: str = "custom_id", order: list[str] = ()) -> DataFrame:
+    """Writes each key's first result once, however often its files are read again, and returns the table.
+
+    First is the micro-batch that brings it first, and in that the row with the least values of `order`, then of all columns (which can be compared,
+    so no maps). Stored rows lie in folders by hash of the key; a batch reads the keys of those folders that its own keys can be in, and of batches
+    before it, so one that is run again doesn't take its own rows for done. Null is a key like any other.
+    """
+    out, columns = f"{folder}/results", results.columns
+    schema = _ddl(results.schema, "key_part int, batch long")
+
+    def new(rows: DataFrame, number: int) -> DataFrame:
+        first = F.min_by(F.struct(*columns), F.struct(*order, *columns)).alias("r")  # combined before the shuffle, so a key of many rows does no harm
+        own = rows.groupBy(key).agg(first).select("r.*").withColumn("key_part", F.pmod(F.xxhash64(key), F.lit(KEY_PARTS)).cast("int"))
+        if number <= 0:
+            return own
+        parts = [r.key_part for r in rows.select(F.pmod(F.xxhash64(key), F.lit(KEY_PARTS)).cast("int").alias("key_part")).distinct().collect()]  # KEY_PARTS at most
+        done = rows.sparkSession.read.schema(schema).option("basePath", out).parquet(out).filter(F.col("key_part").isin(parts) & (F.col("batch") < number))
+        known = done.select(F.col(key).alias("_key"), F.col("key_part").alias("_part"))
+        return own.join(known, F.col("_key").eqNullSafe(F.col(key)) & (F.col("_part") == F.col("key_part")), "left_anti")
+
+    _by_batch(results, out, f"{folder}/checkpoint", "key_part", new)
+    return results.sparkSession.read.schema(schema).option("basePath", out).parquet(out).select(*columns)
+
+
+BATCH_EVENTS = "batch_id string, kind string, at timestamp, items array<string>"
+
+
+def batch_outcomes(events: DataFrame, hours: int = EXPIRY_HOURS, late: str = "1 hour") -> DataFrame:
+    """events (batch_id, kind 'submitted' with items or 'ready', at) of batches to (batch_id, outcome, at, item).
+
+    A result up to `hours` after its submission (that instant too) makes the batch 'ready', at the result's time. Without one it is 'expired' at the
+    instant after, when the watermark (`late` behind the latest event) has passed it, and each item goes back, as a row 'requeued'; then its state is
+    dropped but for the time of submission, which goes after another `hours`. A result for an expired batch is 'late' and changes nothing, as is one
+    whose time is beyond the span; a second result for a batch that is ready gives nothing, nor does a second submission while state is held.
+    A result that comes before its submission waits for it, and is 'unknown' once the span has passed without one. Events without a time are left out.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        span = hours * 3_600_000
+        # Milliseconds: when submitted, when its result came (both -1 if not yet), and what was told of it.
+        submitted, result, told, items = state.get if state.exists else (-1, -1, "", [])
+        out: list[tuple] = []
+
+        def tell(outcome: str, ms: int, item: str | None = None) -> None:
+            out.append((key[0], outcome, ms, item))
+
+        def settle() -> None:
+            nonlocal told
+            if submitted >= 0 and not told and 0 <= result <= submitted + span:
+                told = "ready"
+                tell(told, result)
+
+        rows = [] if state.hasTimedOut else [r for b in batches for r in b.itertuples(index=False)]
+        for r in sorted(rows, key=lambda r: (r.ms, r.kind != "submitted", list(r.sent))):
+            ms = int(r.ms)
+            if r.kind == "submitted" and submitted < 0:
+                submitted, items = ms, list(r.sent)
+            elif r.kind == "ready" and told == "expired" or r.kind == "ready" and submitted >= 0 and not told and ms > submitted + span:
+                tell("late", ms)
+            elif r.kind == "ready" and result < 0:
+                result = ms
+            settle()
+        since = submitted if submitted >= 0 else result
+        if state.hasTimedOut and not told:
+            if submitted < 0:
+                tell("unknown", result)
+                state.remove()
+            else:
+                told = "expired"
+                tell(told, submitted + span + 1)
+                for item in items:
+                    tell("requeued", submitted + span + 1, item)
+                items = []
+        elif state.hasTimedOut:
+            state.remove()
+        if since >= 0 and (state.exists or not state.hasTimedOut):
+            state.update((submitted, result, told, items if not told else []))
+            until = since + span + 1 + (span if told else 0)
+            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["batch_id", "outcome", "ms", "item"])
+
+    timed = events.filter(F.col("at").isNotNull()).withWatermark("at", late).select("batch_id", "kind", "at", F.unix_millis("at").alias("ms"), F.coalesce("items", F.array().cast("array<string>")).alias("sent"))
+    told = timed.groupBy("batch_id").applyInPandasWithState(step, "batch_id string, outcome string, ms long, item string", "submitted bigint, result bigint, told string, items array<string>", "append", GroupStateTimeout.EventTimeTimeout)
+    return told.select("batch_id", "outcome", F.timestamp_millis("ms").alias("at"), "item")
 
 
 HEALTH = "source_id string, run timestamp, extracted bigint, empty_rate double, degraded boolean, streak int, status string"
