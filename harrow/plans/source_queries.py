@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from harrow.functions import identity as I
 from harrow.operators import selectors
 from harrow.plans import sql as Q
-from harrow.plans.tables import table
+from harrow.plans.tables import NOW, table
+from harrow.sources import robots
 
 
 def selected_fields(spark: SparkSession, d: str) -> DataFrame:
@@ -40,6 +41,36 @@ SELECT page_id, title, CASE k WHEN 2 THEN {_inner('title')} END AS description,
   CASE k WHEN 2 THEN nullif(regexp_extract(html, '</li><li><a href="([^"]*)"', 1), '') END AS tickets_url
 FROM f WHERE title IS NOT NULL OR body IS NOT NULL"""
 
+#: What hosts say, by the length of their name.
+BODIES = (
+    "User-agent: *\nDisallow: /fr/\nAllow: /fr/8*\nDisallow: /*?page=  # listings\n",
+    "user-agent: other\nDisallow: /\n\nUser-Agent: Harrow/2.0\nUser-agent: x\nDisallow: /*.html$\nDisallow: /en/\nAllow: /en/\nCrawl-delay: 1.5\n\nUser-agent: *\nDisallow: /\n",
+    "User-agent: *\nDisallow: /de\nDisallow:\nAllow: /de/1\nAllow: /$\n",
+    "User-agent: *\nDisallow: /\n",
+)
+
+
+def robots_judged(spark: SparkSession, d: str) -> DataFrame:
+    """The pages by what their hosts' bodies say; of those that forbid all, some are missing, some too old."""
+    pages = table(spark, d, "pages").select("page_id", "url")
+    hosts = pages.select(F.lower(I.host("url")).alias("host")).distinct()
+    kind, seven = F.length("host") % 4, F.ascii("host") % 3
+    age = F.when((kind == 3) & (seven == 1), 24).otherwise(23)
+    bodies = hosts.select("host", F.get(F.array(*[F.lit(b) for b in BODIES]), kind).alias("body"), F.when((kind == 3) & (seven == 0), 404).otherwise(200).alias("status"), (F.lit(NOW).cast("timestamp") - F.make_interval(hours=age)).alias("fetched_at"))
+    rows = robots.judged(pages, robots.rules(bodies, NOW), "Harrow/3.1")
+    return rows.select("page_id", "allowed", "rule")
+
+
+ROBOTS_SQL = f"""
+WITH p AS (SELECT page_id, lower({Q.host('url')}) AS h, CASE WHEN starts_with(r, '/') THEN r ELSE '/' || r END AS w FROM (SELECT page_id, url, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) AS r FROM pages)),
+r AS (SELECT page_id, CASE length(h) % 4
+  WHEN 0 THEN CASE WHEN contains(w, '?page=') THEN '/*?page=' WHEN starts_with(w, '/fr/8') THEN '/fr/8*' WHEN starts_with(w, '/fr/') THEN '/fr/' END
+  WHEN 1 THEN CASE WHEN ends_with(w, '.html') THEN '/*.html$' WHEN starts_with(w, '/en/') THEN '/en/' END
+  WHEN 2 THEN CASE WHEN starts_with(w, '/de/1') THEN '/de/1' WHEN starts_with(w, '/de') THEN '/de' WHEN w = '/' THEN '/$' END
+  ELSE CASE WHEN ascii(h) % 3 = 2 THEN '/' END END AS rule FROM p WHERE h <> '')
+SELECT page_id, coalesce(rule IN ('/fr/8*', '/en/', '/de/1', '/$'), true) AS allowed, rule FROM p LEFT JOIN r USING (page_id)"""
+
 QUERIES = {
+    "robots_judged": (robots_judged, ROBOTS_SQL),
     "selected_fields": (selected_fields, SELECTED_SQL),
 }
