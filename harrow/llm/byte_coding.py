@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache, cached_property
@@ -58,7 +59,7 @@ def as_library(pattern: str) -> tuple[str, str]:
     import tiktoken
 
     odd: set[int] = set()
-    points = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    points = [c for c in (*range(0x80, 0x40000), *range(0xE0000, 0xE1000)) if not 0xD800 <= c < 0xE000]  # the planes that have characters with a class
     for name, before in (("L", "a"), ("N", "1")):
         pairs = {bytes([b]): b for b in range(256)} | {before.encode() + bytes([b]): 256 + b for b in range(0x80, 256)}
         probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=pairs, special_tokens={})
@@ -109,14 +110,16 @@ class ByteVocabulary:
         return max(map(len, self.ranks))
 
     @cached_property
-    def _splits(self) -> tuple[regex.Pattern, regex.Pattern, regex.Pattern | None]:
+    def _splits(self) -> tuple[regex.Pattern, regex.Pattern, re.Pattern, re.Pattern]:
+        """The pattern as it is, the exact one, and what finds characters that need the latter: none below the first of them, which is quick to see."""
         exact, odd = self.as_library
-        return regex.compile(self.pattern), regex.compile(exact or self.pattern, regex.VERSION1), regex.compile(odd) if odd else None
+        above = re.compile(rf"[^\0-{odd[1:11]}]") if odd else re.compile("(?!)")
+        return regex.compile(self.pattern), regex.compile(exact or self.pattern, regex.VERSION1), above, re.compile(odd or "(?!)")
 
     def split(self, text: str) -> regex.Pattern:
         """What cuts the text: the pattern as it is, unless a character needs the slower one that knows the library's Unicode version."""
-        plain, exact, odd = self._splits
-        return exact if odd and not text.isascii() and odd.search(text) else plain
+        plain, exact, above, odd = self._splits
+        return exact if not text.isascii() and above.search(text) and odd.search(text) else plain
 
     @cached_property
     def endings(self):
