@@ -45,9 +45,12 @@ def free_admission(price_texts: Column, extracts: Column) -> Column:
 
 def structured_update(cards: DataFrame, fresh: DataFrame, at: Column) -> DataFrame:
     """cards (slug, price, schedule, curated) with fresh (slug, price, hours, free) prices, hours and free admission; all else, the text too, stays.
-    Cards without fresh data stay as they are."""
+    A card without a museum part gets
+    one; cards without fresh data stay as they are."""
     f = fresh.select("slug", F.col("price").alias("_price"), F.col("hours").alias("_hours"), F.col("free").alias("_free"), F.lit(True).alias("_hit"))
-    curated = F.col("curated").withField("curatedAt", at).withField("museum.openingHours", F.col("_hours")).withField("museum.freeAdmission", F.col("_free"))
+    empty = F.from_json(F.lit("{}"), cards.schema["curated"].dataType["museum"].dataType)
+    museum = F.coalesce("curated.museum", empty).withField("openingHours", F.col("_hours")).withField("freeAdmission", F.col("_free"))
+    curated = F.col("curated").withField("curatedAt", at).withField("museum", museum)
     pick = lambda new, old: F.when(F.col("_hit"), new).otherwise(F.col(old))
     joined = cards.join(f, "slug", "left")
     return joined.select(*[{"price": pick(F.col("_price"), "price"), "schedule": pick(F.col("_hours"), "schedule"), "curated": pick(curated, "curated")}.get(c, F.col(c)).alias(c) for c in cards.columns])

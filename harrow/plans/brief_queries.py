@@ -179,6 +179,7 @@ _FREE_SQL = f"WITH x AS (SELECT p_partkey, {_FREE_LIST}[p_partkey % 4 + 1] || '
 
 def structured_update(spark: SparkSession, d: str) -> DataFrame:
     museum = F.struct(F.array(F.lit("old")).alias("openingHours"), F.array(F.lit("none")).alias("freeAdmission"), F.lit(30).alias("visitMinutes"))
+    museum = F.when(_key() % 5 != 0, museum)  # every fifth card has no museum part yet
     published = table(spark, d, "part").select(_key().alias("slug"), F.col("p_retailprice").alias("price"), F.array(F.lit("old")).alias("schedule"), F.struct(F.lit("then").alias("curatedAt"), F.col("p_name").alias("why"), museum.alias("museum")).alias("curated"))
     fresh = table(spark, d, "part").filter(_key() % 3 == 0).select(_key().alias("slug"), (F.col("p_retailprice") + 1).alias("price"), F.array(_text("h", _key() % 5)).alias("hours"), F.array(F.lit("diumenge")).alias("free"))
     rows = cards.structured_update(published, fresh, F.lit("now"))
@@ -301,7 +302,7 @@ QUERIES = {
     "retention_days": (retention_days, f"SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderdate::DATE::TIMESTAMP >= {N} - INTERVAL 1000 DAY"),
     "resolved_images": (resolved_images, _images_sql()),
     "free_admission": (free_admission, _FREE_SQL),
-    "structured_update": (structured_update, "SELECT p_partkey AS slug, CASE WHEN f THEN p_retailprice + 1 ELSE p_retailprice END AS price, CASE WHEN f THEN 'h' || p_partkey % 5 ELSE 'old' END AS schedule, CASE WHEN f THEN 'now' ELSE 'then' END AS curated_at, p_name AS why, CASE WHEN f THEN 'h' || p_partkey % 5 ELSE 'old' END AS hours, CASE WHEN f THEN 'diumenge' ELSE 'none' END AS free, 30 AS minutes FROM (SELECT *, p_partkey % 3 = 0 AS f FROM part)"),
+    "structured_update": (structured_update, "SELECT p_partkey AS slug, CASE WHEN f THEN p_retailprice + 1 ELSE p_retailprice END AS price, CASE WHEN f THEN 'h' || p_partkey % 5 ELSE 'old' END AS schedule, CASE WHEN f THEN 'now' ELSE 'then' END AS curated_at, p_name AS why, CASE WHEN f THEN 'h' || p_partkey % 5 WHEN m THEN 'old' END AS hours, CASE WHEN f THEN 'diumenge' WHEN m THEN 'none' END AS free, CASE WHEN m THEN 30 END AS minutes FROM (SELECT *, p_partkey % 3 = 0 AS f, p_partkey % 5 <> 0 AS m FROM part)"),
     "assembled_cards": (assembled_cards, _cards_sql()),
     "manifest_rows": (manifest_rows, f"SELECT '2001-06-15' AS date, '{I.PROMPT_VERSIONS['write']}' AS prompt_version, 1.23::DOUBLE AS run_cost_eur, CASE p_partkey % 5 WHEN 0 THEN 'proposed' ELSE 'discarded' END AS state, 'p' || p_partkey AS slug, CASE p_partkey % 5 WHEN 0 THEN 'plans' END AS collection, CASE WHEN p_partkey % 5 = 0 THEN CASE p_partkey % 2 WHEN 0 THEN 'new' ELSE 'update' END END AS kind, CASE p_partkey % 5 WHEN 0 THEN p_size::BIGINT END AS score, CASE p_partkey % 5 WHEN 1 THEN p_type END AS reason FROM part WHERE p_partkey % 5 < 2"),
     "long_dates": (long_dates, f"SELECT o_orderkey, day(o_orderdate) || ' de ' || {list(cards.MONTHS_ES)}[month(o_orderdate)] || ' de ' || year(o_orderdate) AS day, replace('a|' || o_orderpriority, '|', '\\|') AS cell FROM orders"),
