@@ -113,7 +113,7 @@ class ByteVocabulary:
     def _splits(self) -> tuple[regex.Pattern, regex.Pattern, re.Pattern, re.Pattern]:
         """The pattern as it is, the exact one, and what finds characters that need the latter: none below the first of them, which is quick to see."""
         exact, odd = self.as_library
-        above = re.compile(rf"[^\0-{odd[1:11]}]") if odd else re.compile("(?!)")
+        above = re.compile(rf"[{odd[1:11]}-\U0010ffff]") if odd else re.compile("(?!)")
         return regex.compile(self.pattern), regex.compile(exact or self.pattern, regex.VERSION1), above, re.compile(odd or "(?!)")
 
     def split(self, text: str) -> regex.Pattern:
