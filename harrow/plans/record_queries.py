@@ -355,6 +355,11 @@ def verdict_cache(spark: SparkSession, d: str) -> DataFrame:
     return changes.cached_verdicts(docs, log, fresh).select("doc_id", "verdict", "origin")
 
 
+# The least row that a way down the pairs leads to: a row's group is the least of its earlier matches' groups.
+_GREEDY_SQL = f"""WITH RECURSIVE {Q.CANDIDATES.lstrip()}, {_SAME}, m AS MATERIALIZED (SELECT a, b FROM s WHERE signals >= 2),
+reach AS (SELECT b AS ord, a AS low FROM m UNION SELECT r.ord, m.a FROM reach r JOIN m ON m.b = r.low)
+SELECT ord, coalesce(g, ord) AS group_id FROM candidates LEFT JOIN (SELECT ord, min(low) AS g FROM reach GROUP BY 1) USING (ord)"""
+
 QUERIES = {
     "price_parse": (price_parse, _price_sql()),
     "date_parse": (date_parse, _DATE_SQL),
@@ -363,7 +368,7 @@ QUERIES = {
     "candidate_deadletter": (candidate_deadletter, _DEAD_SQL),
     "geo_interval_pairs": (geo_interval_pairs, f"WITH {Q.CANDIDATES} {_GEO}"),
     "same_pairs": (same_pairs, f"WITH {Q.CANDIDATES}, {_SAME} SELECT a, b, signals FROM s WHERE signals >= 2"),
-    "greedy_groups": (greedy_groups, None),
+    "greedy_groups": (greedy_groups, _GREEDY_SQL),
     "merge_clusters": (merge_clusters, _MERGE_SQL),
     "score_deterministic": (score_deterministic, f"WITH {_CLUSTERS} SELECT ord, consensus, reputation, freshness, completeness, consensus + reputation + freshness + completeness AS deterministic FROM scored"),
     "prefilter_reasons": (prefilter_reasons, f"{_PREFILTER} SELECT ord, reason FROM r"),

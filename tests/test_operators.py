@@ -271,3 +271,26 @@ def test_diversify_prunes_no_pick(spark, venues, places, limit):
     df = spark.createDataFrame(rows, "ord long, total double, category string, neighbourhood string, venue string, cheap boolean, timeless boolean, vetoed boolean")
     got = selection.diversify(df, limit).filter("pick IS NOT NULL").orderBy("pick").collect()
     assert [r.ord for r in got] == picks
+
+
+def test_greedy_groups_of_one_chain(spark):
+    """A chain of a third of all rows, a row that thousands match, and ways down that end early: the groups are the loop's, in few rounds."""
+    rng = random.Random(6)
+    chain = [(k, k + 1) for k in range(1000)]
+    star = [(5000, 5000 + k) for k in range(1, 2000)]
+    loose = [tuple(sorted(rng.sample(range(10_000, 10_300), 2))) for _ in range(200)] + [(10_000, 10_000), (10_005, 10_001), (None, 10_002)]
+    pairs = chain + star + loose
+    earlier: dict[int, list[int]] = {}
+    for a, b in pairs:
+        if a is not None and a != b:
+            earlier.setdefault(max(a, b), []).append(min(a, b))
+    group: dict[int, int] = {}
+    ids = [*range(1001), *range(5000, 7000), *range(10_000, 10_300), 20_000]
+    for i in ids:
+        group[i] = min((group[e] for e in earlier.get(i, [])), default=i)
+    rows = spark.createDataFrame([(i,) for i in ids], "ord long")
+    got = matching.greedy_groups(rows, spark.createDataFrame(pairs, "a long, b long"), most_rounds=14)
+    assert {r.ord: r.group_id for r in got.collect()} == group
+    assert {r.group_id for r in matching.greedy_groups(rows, spark.createDataFrame([], "a long, b long")).collect()} == set(ids)
+    with pytest.raises(RuntimeError):
+        matching.greedy_groups(rows, spark.createDataFrame(chain, "a long, b long"), most_rounds=3)
