@@ -158,11 +158,28 @@ def jsonld_records(spark: SparkSession, d: str) -> DataFrame:
     return extract.linked_data(table(spark, d, "pages").select("page_id", html.alias("html"))).select("page_id", "title", "start_date", "venue_name", "lat", "lng", "price_text")
 
 
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """A document for each page, of six shapes: url set, RSS, prefixed index, Atom, CDATA with an old-style entity beside it, and one that breaks off."""
+    u, raw = F.replace("url", F.lit("&"), F.lit("&amp;")), F.col("url")
+    parts = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    shapes = (
+        parts('<?xml version="1.0"?>\n<!-- <loc>none</loc> -->\n<urlset xmlns="http://s"><url><loc>\n ', u, " </loc><lastmod>2024-01-02</lastmod></url></urlset>"),
+        parts('<rss version="2.0"><channel><link>http://site/</link><item><title>&lt;link&gt;</title><link>', u, "</link><pubDate>2024-01-02</pubDate></item></channel></rss>"),
+        parts('<s:sitemapindex xmlns:s="http://s"><s:sitemap><s:loc>', u, "</s:loc><s:lastmod>2024-01-02</s:lastmod></s:sitemap></s:sitemapindex>"),
+        parts('<feed xmlns="http://a"><link href="http://self/"/><entry><title/><link rel="alternate" href="', u, '"/><link href="http://other/"/><updated>2024-01-02</updated></entry></feed>'),
+        parts("<urlset><url><loc><![CDATA[", raw, "]]></loc><lastmod>2024&#45;01-02</lastmod></url><url><loc/></url></urlset>"),
+        parts("<rss><channel><item><link>", u, "</link></item><item>"),
+    )
+    return table(spark, d, "pages").select("page_id", I.host("url").alias("source_id"), F.get(F.array(*shapes), F.col("page_id") % 6).alias("xml"))
+
+
 def sitemap_and_feeds(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "pages").select(I.host("url").alias("source_id"), F.replace("url", F.lit("&"), F.lit("&amp;")).alias("u"), "page_id")
-    maps = pages.filter("page_id % 2 = 0").select("source_id", F.concat(F.lit("<urlset><url><loc>"), "u", F.lit("</loc><lastmod>2024-01-02</lastmod></url></urlset>")).alias("xml"))
-    feeds = pages.filter("page_id % 2 = 1").select("source_id", F.concat(F.lit("<rss><item><title>t</title><link>"), "u", F.lit("</link><pubDate>2024-01-02</pubDate></item></rss>")).alias("xml"))
-    return readers.sitemap_urls(maps).select("source_id", "loc", "lastmod").unionByName(readers.feed_urls(feeds))
+    docs = _documents(spark, d).select("source_id", "xml")
+    return readers.sitemap_urls(docs).select("source_id", "loc", "lastmod").unionByName(readers.feed_urls(docs))
+
+
+def broken_documents(spark: SparkSession, d: str) -> DataFrame:
+    return readers.broken_documents(_documents(spark, d))
 
 
 QUERIES = {
@@ -184,5 +201,6 @@ QUERIES = {
     "robots_allowed": (robots_allowed, f"SELECT page_id FROM pages WHERE NOT starts_with({Q.path('url')}, '/de/')"),
     "classify_documents": (classify_documents, _classify_sql()),
     "jsonld_records": (jsonld_records, "SELECT page_id, 'N' || page_id AS title, '2024-03-01' AS start_date, 'V' AS venue_name, 41.4::DOUBLE AS lat, 2.1::DOUBLE AS lng, '12 EUR' AS price_text FROM pages"),
-    "sitemap_and_feeds": (sitemap_and_feeds, f"SELECT {Q.host('url')} AS source_id, url AS loc, '2024-01-02' AS lastmod FROM pages"),
+    "sitemap_and_feeds": (sitemap_and_feeds, f"SELECT {Q.host('url')} AS source_id, url AS loc, '2024-01-02' AS lastmod FROM pages WHERE page_id % 6 <> 5"),
+    "broken_documents": (broken_documents, f"SELECT page_id, {Q.host('url')} AS source_id FROM pages WHERE page_id % 6 = 5"),
 }

@@ -50,23 +50,37 @@ def last_rows(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+#: What is read of sitemaps, sitemap indexes, RSS and Atom. An element's text is _VALUE where it may have attributes too.
+_ENTRY, _LINK, _BROKEN = "struct<loc: struct<_VALUE: string>, lastmod: string>", "array<struct<_VALUE: string, _href: string>>", "_broken"
+_ITEM = f"array<struct<link: {_LINK}, pubDate: string>>"
+XML = f"url array<{_ENTRY}>, sitemap array<{_ENTRY}>, channel struct<item: {_ITEM}>, item {_ITEM}, entry array<struct<link: {_LINK}, updated: string>>, {_BROKEN} string"
+
+
+def parsed_xml(documents: DataFrame) -> DataFrame:
+    """documents with their column xml parsed as `doc`: null for null, empty and broken documents. Spark's own parser reads them, with namespaces left
+    out, entities and CDATA resolved; a document is broken if its XML ends early or isn't any, and then none of it counts."""
+    doc = F.from_xml("xml", XML, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN, "ignoreNamespace": "true", "rowTag": "ROW"})
+    return documents.withColumn("doc", F.when(F.trim("xml") != "", doc)).withColumn("doc", F.when(F.col(f"doc.{_BROKEN}").isNull(), F.col("doc")))
+
+
+def broken_documents(documents: DataFrame) -> DataFrame:
+    """The documents, without their text, that have text and can't be parsed: what a run reports instead of reading on."""
+    return parsed_xml(documents.filter(F.trim("xml") != "")).filter("doc IS NULL").drop("xml", "doc")
+
+
 def sitemap_urls(documents: DataFrame) -> DataFrame:
     """documents (source_id, xml) to (source_id, kind, loc, lastmod): entries of url sets (page) and of sitemap indexes (map). Broken documents give nothing."""
-    entry = lambda tag, kind: F.transform(F.regexp_extract_all("xml", F.lit(rf"(?s)<{tag}>(.*?)</{tag}>"), 1), lambda x: F.struct(F.lit(kind).alias("kind"), _element(x, "loc").alias("loc"), _element(x, "lastmod").alias("lastmod")))
-    rows = documents.select("source_id", F.inline(F.concat(entry("sitemap", "map"), entry("url", "page"))))
+    entry = lambda field, kind: F.transform(F.coalesce(F.col(f"doc.{field}"), F.array()), lambda x: F.struct(F.lit(kind).alias("kind"), F.trim(x["loc"]["_VALUE"]).alias("loc"), F.trim(x["lastmod"]).alias("lastmod")))
+    rows = parsed_xml(documents).select("source_id", F.inline(F.concat(entry("sitemap", "map"), entry("url", "page"))))
     return rows.filter("loc <> ''")
 
 
 def feed_urls(documents: DataFrame) -> DataFrame:
-    """documents (source_id, xml) of RSS 2.0 and Atom to (source_id, loc, lastmod)."""
-    items = F.transform(F.regexp_extract_all("xml", F.lit(r"(?s)<item[^>]*>(.*?)</item>"), 1), lambda x: F.struct(_element(x, "link").alias("loc"), _element(x, "pubDate").alias("lastmod")))
-    atom = F.transform(F.regexp_extract_all("xml", F.lit(r"(?s)<entry[^>]*>(.*?)</entry>"), 1), lambda x: F.struct(F.regexp_extract(x, r"<link[^>]*href=[\"']([^\"']+)", 1).alias("loc"), _element(x, "updated").alias("lastmod")))
-    return documents.select("source_id", F.inline(F.concat(items, atom))).filter("loc <> ''")
-
-
-def _element(x: Column, tag: str) -> Column:
-    inner = F.regexp_extract(x, rf"(?s)<{tag}[^>]*>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{tag}>", 1)
-    return F.replace(inner, F.lit("&amp;"), F.lit("&"))
+    """documents (source_id, xml) of RSS and Atom to (source_id, loc, lastmod): an item's link, an entry's first one by its address. Broken documents give nothing."""
+    first = lambda x, part: F.trim(F.get(x["link"], F.lit(0))[part]).alias("loc")
+    items = lambda field: F.transform(F.coalesce(F.col(field), F.array()), lambda x: F.struct(first(x, "_VALUE"), F.trim(x["pubDate"]).alias("lastmod")))
+    atom = F.transform(F.coalesce(F.col("doc.entry"), F.array()), lambda x: F.struct(first(x, "_href"), F.trim(x["updated"]).alias("lastmod")))
+    return parsed_xml(documents).select("source_id", F.inline(F.concat(items("doc.channel.item"), items("doc.item"), atom))).filter("loc <> ''")
 
 
 def choose_submaps(maps: DataFrame, wanted: Column, most: int = MOST_SUBMAPS) -> DataFrame:
