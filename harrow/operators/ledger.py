@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+from decimal import Decimal
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harrow.functions.text import half_up
+from harrow.sources.shared import shared_folder
 
 #: Euros a month, the share at which to warn, euros a dollar, characters a token.
 BUDGET, WARN_AT, EUR_PER_USD, CHARS_PER_TOKEN = 5.0, 0.7, 0.93, 3.6
@@ -36,23 +40,83 @@ def settled(calls: DataFrame) -> DataFrame:
     return calls.filter("batch_id IS NULL").unionByName(batched)
 
 
-def guard(calls: DataFrame, budget: float = BUDGET) -> DataFrame:
+#: Calls of a month that are judged one after the other at once, and how near to the budget a sum may come and still be left to that: more than
+#: what adding doubles may lose.
+LOOP_CALLS, NEAR = 10_000, Decimal("0.000001")
+_ORDER = ("ord", "amount", "id")
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _so_far(rows: DataFrame, value: str, highest: bool, path: str) -> DataFrame:
+    """rows (month, ord, amount, id) with so_far, the sum (or the highest) of value over the month's rows up to each. Rows are dealt by ranges of month
+    and order, so a range holds a part of a month at most: what the ranges before it come to is added to what runs inside it."""
+    total = F.max if highest else F.sum
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _stored(rows.repartitionByRange(parts, "month", *_ORDER).withColumn("_part", F.spark_partition_id()), path)
+    inside = total(value).over(Window.partitionBy("month", "_part").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    before = total("_t").over(Window.partitionBy("month").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row a range
+    ahead = dealt.groupBy("month", "_part").agg(total(value).alias("_t")).select("month", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    both = F.greatest("_before", "_inside") if highest else F.col("_before") + F.col("_inside")
+    return dealt.withColumn("_inside", inside).join(ahead, ["month", "_part"]).withColumn("so_far", both).drop("_part", "_inside", "_before")
+
+
+def guard(calls: DataFrame, budget: float = BUDGET, loop_calls: int = LOOP_CALLS) -> DataFrame:
     """calls (month, ord, eur) with admitted and spent (after the call): a call goes through if its month's budget still holds it; one that doesn't spends nothing.
 
-    Each month is one task. What was admitted decides about later calls, so this is a loop over a month's amounts and nothing else of its rows.
+    Calls are taken by ord, then amount, and summed as doubles in that order. What was admitted decides about later calls, so only a loop can do it, but
+    most calls can't go through whatever happens, and those leave first: up to where running sums reach a month's budget all calls go through, and of
+    those behind it only the ones that fit the rest stay. Rounds of running sums over ranges, exact in decimals, take a month on from refusal to
+    refusal, until at most loop_calls of its calls are left or a sum comes too NEAR the budget to say. What stays (as many calls as the budget pays
+    for, and those few) streams through the loop month by month, in order and without being held. No month is one task before.
+    A null or NaN amount is refused; one below zero is an error, as then what didn't fit could fit later. A null month is a month of its own.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        spent, ok, sums = 0.0, [], []
-        for eur in pdf["eur"]:
-            fits = spent + eur <= budget
-            spent += eur if fits else 0.0
-            ok.append(fits)
-            sums.append(spent)
-        return pdf.assign(admitted=ok, spent=sums)
-
-    return calls.select("month", "ord", "eur").groupBy("month").applyInPandas(run, "month string, ord long, eur double, admitted boolean, spent double")
+    folder, limit, no_month = shared_folder(calls.sparkSession), Decimal(budget), "\0"
+    amount = F.when(F.col("eur") < 0, F.raise_error(F.lit("an amount below zero"))).when(F.isnan("eur"), None).otherwise(F.least("eur", F.lit(2.0 * budget + 1)).cast("decimal(38,18)"))
+    rows = _stored(calls.select(F.coalesce("month", F.lit(no_month)).alias("month"), "ord", "eur", amount.alias("amount")).withColumn("id", F.monotonically_increasing_id()), f"{folder}/calls")
+    columns = ["month", *_ORDER, "eur"]
+    left = rows.filter(F.col("amount") <= F.lit(limit + NEAR)).select(*columns, F.lit(0).cast("decimal(38,18)").alias("base"))
+    kept, number = [], 0
+    while True:
+        sizes = left.groupBy("month").agg(F.count("*").alias("_n"))
+        few, many = (left.join(sizes.filter(c).select("month"), "month", "left_semi") for c in (F.col("_n") <= loop_calls, F.col("_n") > loop_calls))
+        kept.append(few.select(*columns))
+        if sizes.filter(F.col("_n") > loop_calls).limit(1).count() == 0:
+            break
+        summed = _so_far(many, "amount", False, f"{folder}/dealt{number}").withColumn("so_far", (F.col("base") + F.col("so_far")).cast("decimal(38,18)"))
+        summed = _stored(summed, f"{folder}/summed{number}")
+        reached = summed.filter(F.col("so_far") > F.lit(limit - NEAR)).groupBy("month").agg(F.min(F.struct(*_ORDER, "so_far")).alias("_stop"))
+        marked = summed.join(reached, "month", "left")
+        stop, own = F.struct(*[F.col(f"_stop.{c}") for c in _ORDER]), F.struct(*_ORDER)
+        spent = F.col("_stop.so_far") - F.col("_stop.amount")
+        unsure = F.col("_stop.so_far") <= F.lit(limit + NEAR)
+        fits = F.col("amount") <= F.lit(limit + NEAR) - spent
+        kept.append(marked.filter(F.col("_stop").isNull() | (own < stop) | (unsure & fits)).select(*columns))
+        left = _stored(marked.filter(F.col("_stop").isNotNull() & ~unsure & (own > stop) & fits).select(*columns, spent.cast("decimal(38,18)").alias("base")), f"{folder}/left{number}")
+        number += 1
+
+    def loop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        month, spent = None, 0.0
+        for batch in batches:
+            ids, sums = [], []
+            for own, one, eur in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                month, spent = own, spent if own == month else 0.0
+                if spent + eur <= budget:
+                    spent += eur
+                    ids.append(one)
+                    sums.append(spent)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sums, pa.float64())], ["id", "spent"])
+
+    stream = kept[0]
+    for more in kept[1:]:
+        stream = stream.unionByName(more)
+    stream = stream.repartition(F.col("month")).sortWithinPartitions("month", *_ORDER).select("month", "id", "eur")
+    judged = rows.join(stream.mapInArrow(loop, "id long, spent double"), "id", "left").withColumn("_spent", F.coalesce("spent", F.lit(0.0)))
+    out = _so_far(judged, "_spent", True, f"{folder}/judged")
+    return out.select(F.nullif("month", F.lit(no_month)).alias("month"), "ord", "eur", F.col("spent").isNotNull().alias("admitted"), F.col("so_far").alias("spent"))
 
 
 def warnings(calls: DataFrame, budget: float = BUDGET) -> DataFrame:

@@ -294,3 +294,20 @@ def test_greedy_groups_of_one_chain(spark):
     assert {r.group_id for r in matching.greedy_groups(rows, spark.createDataFrame([], "a long, b long")).collect()} == set(ids)
     with pytest.raises(RuntimeError):
         matching.greedy_groups(rows, spark.createDataFrame(chain, "a long, b long"), most_rounds=3)
+
+
+@pytest.mark.parametrize("loop_calls", [0, 5, 10_000])
+def test_guard_by_rounds(spark, loop_calls):
+    """A month of two thirds of all calls, amounts that fit late, ties, repeated calls, nulls: as a loop over each month, whatever a task may hold."""
+    rng = random.Random(8)
+    rows = [("big", k // 2, round(rng.choice([rng.random() * 0.2, rng.random() * 3, 0.0001, 0.0]), 4)) for k in range(400)]
+    rows += [(rng.choice(["a", "b", None]), k, rng.choice([round(rng.random() * 2, 4), 6.0, None, float("nan")])) for k in range(150)] + [("c", 1, 5.0), ("c", 2, 0.0), ("c", 2, 0.0), ("d", 1, 5.0001), ("e", 1, 0.1), ("e", 2, 4.9), ("e", 3, 1e200)]
+    want = []
+    for month in {r[0] for r in rows}:
+        spent = 0.0
+        for _, ord_, eur in sorted((r for r in rows if r[0] == month), key=lambda r: (r[1], 0 if r[2] is None or r[2] != r[2] else r[2])):
+            fits = eur is not None and spent + eur <= 5
+            spent += eur if fits else 0
+            want.append((str(month), ord_, str(eur), fits, spent))
+    got = ledger.guard(spark.createDataFrame(rows, "month string, ord long, eur double"), loop_calls=loop_calls).collect()
+    assert sorted((str(r.month), r.ord, str(r.eur), r.admitted, r.spent) for r in got) == sorted(want)
