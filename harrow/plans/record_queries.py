@@ -331,10 +331,42 @@ def json_loose(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", loose_json.parse(wrapped).alias("r")).select("event_id", "r.json", "r.via")
 
 
+#: Cards of a part in the queries, and the day whose cards are published.
+PART_CARDS, PUBLISHED_ON = 40, "2001-01-01"
+
+
+def _published(spark: SparkSession, d: str, docs: DataFrame | None = None) -> DataFrame:
+    """Parts of all documents with their whole texts, or of docs (doc_id, text)."""
+    docs = table(spark, d, "documents").select("doc_id", "text") if docs is None else docs
+    rows = _card_rows(spark, d).join(docs, "doc_id")
+    live = publish.publishable(rows, rows.filter("vetoed"), F.lit(PUBLISHED_ON).cast("timestamp"))
+    return publish.parts(live, ["slug", "source", "text"], "CC-BY-4.0", PART_CARDS)
+
+
 def publish_collections(spark: SparkSession, d: str) -> DataFrame:
-    rows = _card_rows(spark, d)
-    live = publish.publishable(rows, rows.filter("vetoed"), F.lit("2001-01-01").cast("timestamp"))
-    return publish.verified(publish.envelopes(live, ["slug", "title"], "CC-BY-4.0")).select("collection", "count", "sha256", F.col("bytes").cast("long").alias("bytes"), "intact")
+    return publish.index(_published(spark, d))
+
+
+def published_parts(spark: SparkSession, d: str) -> DataFrame:
+    return publish.verified(_published(spark, d)).select("collection", "part", "count", "bytes", "sha256", "intact")
+
+
+def published_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Two builds, between which the longest documents of each language changed."""
+    docs = table(spark, d, "documents")
+    longest = docs.groupBy("lang").agg(F.max("n_chars").alias("most"))
+    hit = docs.join(longest, (docs.lang == longest.lang) & (docs.n_chars == longest.most)).select("doc_id").withColumn("_hit", F.lit(True))
+    text = F.when(F.col("_hit"), F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    return publish.changed_parts(_published(spark, d), _published(spark, d, docs.join(hit, "doc_id", "left").select("doc_id", text.alias("text"))))
+
+
+_PARTS_SQL = f"""
+WITH c AS (SELECT doc_id, lang AS collection, 'doc-' || doc_id AS slug, source, text, n_chars FROM documents LEFT JOIN labels USING (doc_id)
+  WHERE coalesce(toxic, 0) <> 1 AND (doc_id % 4 <> 0 OR to_timestamp(946684800 + doc_id * 86400) >= '{PUBLISHED_ON} 00:00:00+00'::TIMESTAMPTZ)),
+p AS (SELECT *, coalesce(last_value(CASE WHEN ('0x' || left(md5(slug), 8))::BIGINT % {PART_CARDS} = 0 THEN slug END IGNORE NULLS) OVER (PARTITION BY collection ORDER BY slug), '') AS part FROM c),
+b AS (SELECT collection, part, count(*) AS n, max(n_chars) AS most, '{{"collection":' || to_json(collection) || ',"part":' || to_json(part) || ',"count":' || count(*) || ',"licence":"CC-BY-4.0","items":['
+  || string_agg('{{"slug":' || to_json(slug) || coalesce(',"source":' || to_json(source), '') || coalesce(',"text":' || to_json(text), '') || '}}', ',' ORDER BY slug) || ']}}' AS body FROM p GROUP BY collection, part)
+"""
 
 
 def publish_gate(spark: SparkSession, d: str) -> DataFrame:
@@ -388,7 +420,9 @@ QUERIES = {
     "museum_diff": (museum_diff, _MUSEUM),
     "rewrite_decision": (rewrite_decision, "SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'locked' WHEN doc_id % 7 = 0 THEN 'paid' WHEN doc_id % 3 = 0 THEN 'new' WHEN doc_id % 2 = 0 THEN 'prompt' ELSE 'changed' END AS decision FROM documents"),
     "json_loose": (json_loose, "SELECT event_id, CASE WHEN event_id % 4 <> 3 THEN props END AS json, ['direct', 'fence', 'balanced', 'failed'][event_id % 4 + 1] AS via FROM events"),
-    "publish_collections": (publish_collections, None),
+    "publish_collections": (publish_collections, _PARTS_SQL + "SELECT collection, count(*) AS parts, sum(n)::BIGINT AS count, sum(strlen(body))::BIGINT AS bytes, sha256(string_agg(sha256(body), chr(10) ORDER BY part)) AS sha256 FROM b GROUP BY collection"),
+    "published_parts": (published_parts, _PARTS_SQL + "SELECT collection, part, n AS count, strlen(body) AS bytes, sha256(body) AS sha256, true AS intact FROM b"),
+    "published_changes": (published_changes, _PARTS_SQL + "SELECT DISTINCT collection, part, 'changed' AS change FROM p WHERE n_chars = (SELECT max(n_chars) FROM documents d WHERE d.lang = collection)"),
     "publish_gate": (publish_gate, "SELECT lang AS collection, count(*) FILTER (coalesce(quality, 1) = 1) AS valid, count(*) FILTER (quality = 0) AS invalid, count(*) FILTER (quality = 0) / count(*) > 0.2 AS held_back FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1"),
     "publish_counts": (publish_counts, "SELECT lang AS collection, count(*) AS n, min('doc-' || doc_id) AS first, max('doc-' || doc_id) AS last FROM documents LEFT JOIN labels USING (doc_id) WHERE coalesce(toxic, 0) <> 1 AND (doc_id % 4 <> 0 OR to_timestamp(946684800 + doc_id * 86400) >= TIMESTAMPTZ '2001-01-01 00:00:00+00') GROUP BY 1"),
     "verdict_cache": (verdict_cache, "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'v2' WHEN doc_id % 3 = 0 THEN 'new' END AS verdict, CASE WHEN doc_id % 2 = 0 THEN 'cache' WHEN doc_id % 3 = 0 THEN 'fresh' ELSE 'missing' END AS origin FROM documents"),

@@ -10,6 +10,8 @@ from harrow.operators import selectors
 from harrow.plans import sql as Q
 from harrow.plans.tables import NOW, table
 from harrow.sources import robots
+from harrow.sources.keyed import KeyedTable
+from harrow.sources.shared import shared_folder
 
 
 def selected_fields(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +72,29 @@ r AS (SELECT page_id, CASE length(h) % 4
   ELSE CASE WHEN ascii(h) % 3 = 2 THEN '/' END END AS rule FROM p WHERE h <> '')
 SELECT page_id, coalesce(rule IN ('/fr/8*', '/en/', '/de/1', '/$'), true) AS allowed, rule FROM p LEFT JOIN r USING (page_id)"""
 
+def cached_states(spark: SparkSession, d: str) -> DataFrame:
+    """Each customer's last event as a keyed table keeps it: written by weeks, those whose last event is an error taken out before the last write; looked up with two hours of life."""
+    events = table(spark, d, "events").select("user_id", "event_id", "event_type", "value", F.col("ts").alias("first_seen"), F.col("ts").alias("seen"))
+    cache = KeyedTable(spark, shared_folder(spark), events.schema, ("user_id",), 16).create()
+    for week in range(4):
+        cache.upsert(events.filter(F.least(F.floor((F.dayofyear("seen") - 1) / 7), F.lit(3)) == week), "seen", ("first_seen",))
+        if week == 2:
+            cache.delete(cache.current().filter("event_type = 'error'"))
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+    return cache.lookup(customers, "seen", 2, F.lit("2024-01-30 23:00:00").cast("timestamp"))
+
+
+CACHED_SQL = """
+WITH e AS (SELECT *, least((dayofyear(ts) - 1) // 7, 3) AS w FROM events),
+l AS (SELECT user_id, w, arg_max(event_id, ts) AS event_id, max(ts) AS ts FROM e GROUP BY ALL),
+k AS (SELECT user_id, arg_max(event_id, w) FILTER (w < 3) AS third, min(ts) AS first, min(ts) FILTER (w = 3) AS fourth, arg_max(event_id, w) AS event_id FROM l GROUP BY user_id),
+t AS (SELECT k.user_id, k.event_id, e.event_type, e.value, CASE WHEN g.event_type = 'error' THEN k.fourth ELSE k.first END AS first_seen, e.ts AS seen
+  FROM k JOIN events e ON e.event_id = k.event_id LEFT JOIN events g ON g.event_id = k.third
+  WHERE (g.event_type IS DISTINCT FROM 'error' OR k.fourth IS NOT NULL) AND e.ts > TIMESTAMP '2024-01-30 21:00:00')
+SELECT c_custkey AS user_id, event_id, event_type, value, first_seen, seen, event_id IS NOT NULL AS hit FROM customer LEFT JOIN t ON t.user_id = c_custkey"""
+
 QUERIES = {
+    "cached_states": (cached_states, CACHED_SQL),
     "robots_judged": (robots_judged, ROBOTS_SQL),
     "selected_fields": (selected_fields, SELECTED_SQL),
 }

@@ -178,6 +178,34 @@ def test_ledger(spark):
     assert ledger.cost(call, pricing).first().eur == pytest.approx(3 * 0.93)
 
 
+def test_published_parts(spark):
+    """Parts are the collection cut where slugs say; a card that changes, comes or goes changes parts beside it only."""
+    import hashlib
+    import json
+
+    rows = [(c, f"s{i:04d}", f"t {i} \n") for c, n in (("big", 900), ("small", 2), (None, 3)) for i in range(n)] + [("big", None, "no slug"), ("big", "s0003", "again")]
+    schema = "collection string, slug string, title string"
+    cards = spark.createDataFrame(rows, schema).repartition(7)
+    got = publish.parts(cards, ["slug", "title"], "CC", 50).collect()
+    begins = lambda s: s is not None and int(hashlib.md5(s.encode()).hexdigest()[:8], 16) % 50 == 0
+    want, name = {}, ""
+    for c in ("big", "small", None):
+        name = ""
+        for _, slug, title in sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is not None, r[1] or "", r[2])):
+            name = slug if begins(slug) else name
+            want.setdefault((c, name), []).append({k: v for k, v in (("slug", slug), ("title", title)) if v is not None})
+    assert {(r.collection, r.part): json.loads(r.body)["items"] for r in got} == want and len(want) > 12
+    index = {r.collection: r for r in publish.index(spark.createDataFrame(got)).collect()}
+    digests = [r.sha256 for r in sorted((r for r in got if r.collection == "big"), key=lambda r: r.part)]
+    assert index["big"]["count"] == 902 and index["big"].sha256 == hashlib.sha256("\n".join(digests).encode()).hexdigest()
+    begun = sorted(p for c, p in want if c == "big")
+    other = [r for r in rows if r[1] != begun[3]] + [("big", begun[5] + "x", "new"), ("new", "a", "b")]
+    changes = {(r.collection, r.part): r.change for r in publish.changed_parts(spark.createDataFrame(got), publish.parts(spark.createDataFrame(other, schema), ["slug", "title"], "CC", 50)).collect()}
+    after = begun[5] + "x" if begins(begun[5] + "x") else begun[5]
+    assert changes == {("big", begun[3]): "removed", ("big", begun[2]): "changed", ("big", after): "added" if after != begun[5] else "changed", ("new", ""): "added"}
+    assert publish.parts(cards.limit(0), ["slug"], "CC").count() == 0
+
+
 def test_verify_and_publish(spark):
     e = lambda f, x: (f, x)
     df = spark.createDataFrame([(1, "Entrada 12 euros. Dilluns 10-14.", [e("precio", "entrada 12 EUROS"), e("horario", "dimarts"), e("price", "dilluns")])], "card_id int, material string, evidence array<struct<field:string,fragment:string>>")
