@@ -98,11 +98,12 @@ def exact(vectors, q, k):
     return [i for i, _ in sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:k]]
 
 
-def nearest(spark, rows, every, k):
+def nearest(spark, rows, every, k, plain=False):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("mine") for c in CLASHES})
     usable = graph_search.usable(df)
     got = {}
-    for r in sorted(graph_search.search_index(graph_search.build_index(usable, k), usable.filter(F.col("vec_id") % every == 0), k).collect(), key=lambda r: (r.query_id, r["rank"])):
+    index, asked = graph_search.build_index(usable, k), usable.filter(F.col("vec_id") % every == 0)
+    for r in sorted(graph_search.search_index(index, asked, k, exact=plain).collect(), key=lambda r: (r.query_id, r["rank"])):
         got.setdefault(r.query_id, []).append(r.vec_id)
         assert r["rank"] == len(got[r.query_id])
     return got
@@ -115,6 +116,7 @@ def test_vectors(spark):
     rows.append((40, [0.0, 0.0, 9.0]))
     got = nearest(spark, rows + bad, 20, 5)
     assert got == {q: exact(rows, q, 5) for q in (0, 20, 40, 100, 120)}
+    assert nearest(spark, rows + bad, 20, 5, True) == got, "the exact search treats all of these alike"
     assert nearest(spark, rows[:1], 20, 5) == {} and nearest(spark, [], 20, 5) == {}
 
 

@@ -392,24 +392,47 @@ def test_cuts(text, most):
     assert "".join(parts) == text and [w for p in parts for w in p.split()] == text.split()
 
 
-@pytest.mark.parametrize("kind", ["unit", "spread"])
+def _spots(rng, n: int, width: int, spread: float) -> np.ndarray:
+    return rng.normal(size=(40, width))[rng.integers(0, 40, n)] + spread * rng.normal(size=(n, width))
+
+
+#: Vectors of full shards by kind: how many shards, their dimension, and how they lie.
+FULL_SHARDS = {
+    "unit": (3, 32, lambda rng, n, w: rng.normal(size=(n, w))),
+    "spread": (3, 32, lambda rng, n, w: rng.normal(size=(n, w))),
+    "wide": (2, 256, lambda rng, n, w: rng.normal(size=(n, w))),
+    "very wide": (2, 768, lambda rng, n, w: rng.normal(size=(n, w))),
+    "tight": (1, 64, lambda rng, n, w: _spots(rng, n, w, 0.01)),
+    "loose": (1, 64, lambda rng, n, w: _spots(rng, n, w, 0.3)),
+}
+
+
+@pytest.mark.parametrize("kind", list(FULL_SHARDS))
 def test_recall_of_full_shards(spark, kind):
-    rng, n = np.random.default_rng(8), 3 * graph_search.SHARD_ROWS
-    vectors = rng.normal(size=(n, 32))
-    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    shards, width, draw = FULL_SHARDS[kind]
+    rng = np.random.default_rng(8)
+    n = shards * max(min(graph_search.SHARD_ROWS, graph_search.SHARD_VALUES // width), graph_search.LEAST_ROWS)
+    vectors = draw(rng, n, width)
+    if kind in ("unit", "spread"):
+        vectors /= np.linalg.norm(vectors, axis=1)[:, None]
     if kind == "spread":
         vectors *= np.exp(rng.normal(size=(n, 1)))
-    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(vectors.ravel(), 32).cast(pa.list_(pa.float64()))}))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(vectors.ravel(), width).cast(pa.list_(pa.float64()))}))
     usable = graph_search.usable(df).repartition(4)
     index = common.written(graph_search.build_index(usable, 20), common.shared_dir(spark), "index")
-    assert index.count() == 3
-    found = {}
-    for r in graph_search.search_index(index, usable.filter("vec_id % 400 = 0"), 20).collect():
-        found.setdefault(r.query_id, set()).add(r.vec_id)
+    stored = index.select("n", "beam", "recall").collect()
+    assert len(stored) == shards and all(r.recall >= graph_search.WANTED for r in stored)
+    asked = usable.filter(f"vec_id % {n // 120} = 0")
+    found, exact = {}, {}
+    for out, rows in ((found, graph_search.search_index(index, asked, 20)), (exact, graph_search.search_index(index, asked, 20, exact=True))):
+        for r in rows.collect():
+            out.setdefault(r.query_id, set()).add(r.vec_id)
     hits = 0
     for q, rows in found.items():
         scores = vectors @ vectors[q]
         scores[q] = -np.inf
-        hits += len(rows & set(np.argsort(-scores)[:20].tolist()))
-    print(kind, "recall", hits / 20 / len(found))
-    assert len(found) == -(-n // 400) and hits >= 0.9 * 20 * len(found)
+        best = set(np.argsort(-scores)[:20].tolist())
+        hits += len(rows & best)
+        assert exact[q] == best
+    print(kind, "recall", hits / 20 / len(found), stored)
+    assert len(found) >= 120 and hits >= 0.95 * 20 * len(found)
