@@ -74,13 +74,36 @@ def _some(x: str) -> Column:
     return F.when(F.size(x) > 0, F.col(x))
 
 
+# How sources are called where cards name them.
+PUBLISHERS = {
+    "timeout-bcn": "Time Out Barcelona",
+    "barcelona-secreta": "Barcelona Secreta",
+    "lecool-bcn": "Le Cool Barcelona",
+    "beteve-agenda": "betevé",
+    "lavanguardia-quehacer": "La Vanguardia",
+    "teatre-barcelona": "Teatre Barcelona",
+    "enderrock-agenda": "Enderrock",
+    "visit-barcelona": "Barcelona Turisme",
+    "bcn-cultura": "Barcelona Cultura",
+    "articket": "Articket BCN",
+    "museus-bcn": "Museus de Barcelona",
+    "venue-official": "Web oficial del recinto",
+}
+
+
+def publisher(source: Column) -> Column:
+    """What a source is called, or its id."""
+    names = F.create_map(*[F.lit(x) for pair in PUBLISHERS.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, source), source)
+
+
 def assembled(rows: DataFrame, now: datetime, version: str) -> DataFrame:
     """(slug, card): each row as a nested card; to_json() leaves its null parts out.
 
-    rows has flat columns: slug, collection, total, temporality, sources (structs of id, tier, url), start_date, end_date, official_url,
+    rows has flat columns: slug, collection, total, temporality, sources (structs of id, tier, url, retrieved_at), start_date, end_date, official_url,
     tickets_url, title_*, summary_*, why_*, transit_*, includes_* (each _es and _en), minutes, booking, lead_days, languages, audience,
     hours (structs of days and hours), free, exhibition, exhibition_until, visit_minutes, book_ahead, artist, room, surtitles, image (as
-    resolved_image()), schedule, schedule_verified, venue_name, neighbourhood, category, price, dedupe_key, merge_hint, locked. Museums run for
+    resolved_image()), schedule, verified (a struct of booleans, schedule among them), venue (a struct, name and neighborhood among its fields), category, price, dedupe_key, merge_hint, locked. Museums run for
     a year from now; rows of other collections without a start date have no card.
     """
     year_from, year_to = museum_window(F.lit(now).cast("timestamp"))
@@ -98,18 +121,19 @@ def assembled(rows: DataFrame, now: datetime, version: str) -> DataFrame:
         visitMinutes=F.col("visit_minutes"), bookAhead=F.col("book_ahead"),
     ))
     of_show = F.when(F.col("collection") == "shows", _present(artistOrCompany=_text("artist", 120), room=_text("room", 120), surtitles=_some("surtitles")))
+    provenance = F.transform("sources", lambda s: F.struct(s["url"].alias("url"), publisher(s["id"]).alias("publisher"), s["tier"].alias("tier"), s["retrieved_at"].alias("retrievedAt")))
     curated = F.struct(
         F.col("collection"), F.col("slug"), F.lit(1).alias("schemaVersion"), F.lit(now.strftime("%Y-%m-%dT%H:%M:%S.000Z")).alias("curatedAt"), F.lit(version).alias("promptVersion"),
         half_up(F.col("total")).cast("long").alias("score"), F.col("temporality"), F.struct(F.size(backing).alias("sourceCount"), F.transform(backing, lambda s: s["id"]).alias("sources")).alias("consensus"),
-        _two("why_es", "why_en", 160).alias("whyWorthIt"), practical.alias("practical"), of_show.alias("show"), of_museum.alias("museum"),
+        _two("why_es", "why_en", 160).alias("whyWorthIt"), practical.alias("practical"), of_show.alias("show"), of_museum.alias("museum"), provenance.alias("provenance"), F.col("verified"),
         F.struct(F.col("dedupe_key").alias("dedupeKey"), F.col("merge_hint").alias("mergeHint")).alias("keys"), F.when(F.col("locked"), F.lit(True)).alias("locked"),
     )
-    tags = derive_tags(F.col("title_es"), F.col("category"), F.col("neighbourhood"))
+    tags = derive_tags(F.col("title_es"), F.col("category"), F.col("venue.neighborhood"))
     card = F.struct(
         curated_id(F.col("collection"), F.col("slug")).alias("id"), F.lit("curated").alias("source"), F.col("slug").alias("sourceId"), F.coalesce("official_url", F.get(F.col("sources.url"), F.lit(0)), F.lit("")).alias("sourceUrl"),
         F.col("official_url").alias("officialUrl"), F.col("tickets_url").alias("ticketsUrl"), F.lit("es").alias("contentLang"), F.col("title_es").alias("title"), F.col("summary_es").alias("description"),
-        F.col("image.url").alias("image"), F.col("image.source").alias("imageSource"), F.col("image.credit").alias("imageCredit"), F.when(F.col("audience").isNotNull(), F.slice("audience", 1, 20)).alias("audience"),
-        start.alias("startDate"), end.alias("endDate"), F.when(F.col("schedule_verified"), _some("schedule")).alias("schedule"), F.struct(F.col("venue_name").alias("name"), F.col("neighbourhood").alias("neighborhood")).alias("venue"),
+        F.col("image.url").alias("image"), F.when(F.col("image.url").isNotNull(), F.lit("venue")).alias("imageSource"), F.col("image.credit").alias("imageCredit"), F.when(F.col("audience").isNotNull(), F.slice("audience", 1, 20)).alias("audience"),
+        start.alias("startDate"), end.alias("endDate"), F.when(F.col("verified.schedule"), _some("schedule")).alias("schedule"), F.col("venue"),
         F.col("category"), F.col("price"), tags.alias("tags"), F.struct(_two("title_es", "title_en").alias("title"), _two("summary_es", "summary_en").alias("description")).alias("i18n"), curated.alias("curated"),
     )
     return rows.filter(museum | F.col("start_date").isNotNull()).select("slug", card.alias("card"))

@@ -189,7 +189,7 @@ def structured_update(spark: SparkSession, d: str) -> DataFrame:
 def assembled_cards(spark: SparkSession, d: str) -> DataFrame:
     none = F.lit(None)
     kind = F.when(_key() % 3 == 0, "plans").when(_key() % 3 == 1, "shows").otherwise("museums")
-    sources = F.array(F.struct(F.lit("s1").alias("id"), F.when(_key() % 2 == 0, "A").otherwise("C").alias("tier"), F.lit("https://s1/").alias("url")), F.struct(F.lit("s2").alias("id"), F.lit("C").alias("tier"), F.lit("https://s2/").alias("url")))
+    sources = F.array(F.struct(F.lit("s1").alias("id"), F.when(_key() % 2 == 0, "A").otherwise("C").alias("tier"), F.lit("https://s1/").alias("url"), F.lit("2001-06-01").alias("retrieved_at")), F.struct(F.when(_key() % 4 == 0, "museus-bcn").otherwise("articket").alias("id"), F.when(_key() % 5 == 0, "B").otherwise("C").alias("tier"), F.lit("https://s2/").alias("url"), F.lit("2001-06-02").alias("retrieved_at")))
     rows = table(spark, d, "part").withColumns({"candidate_url": _pick(IMAGES, _key()), "venue_name": F.col("p_brand"), "commons_url": none.cast("string"), "commons_credit": none.cast("string")}).select(
         _text("slug-", _key()).alias("slug"), kind.alias("collection"), (F.col("p_size") + 0.5).alias("total"), F.when(_key() % 5 == 0, "temporada").otherwise("puntual").alias("temporality"), sources.alias("sources"),
         F.when(_key() % 7 != 0, "2001-06-20").alias("start_date"), F.when(_key() % 2 == 0, "2001-06-21").alias("end_date"), F.when(_key() % 4 == 0, F.lit("https://o/")).alias("official_url"), none.cast("string").alias("tickets_url"),
@@ -197,12 +197,12 @@ def assembled_cards(spark: SparkSession, d: str) -> DataFrame:
         F.when(_key() % 3 != 0, F.expr("repeat('metro ', 50)")).alias("transit_es"), none.cast("string").alias("transit_en"), F.lit("").alias("includes_es"), F.lit("x").alias("includes_en"),
         F.when(_key() % 2 == 0, F.col("p_size")).alias("minutes"), none.cast("string").alias("booking"), none.cast("int").alias("lead_days"), none.cast("array<string>").alias("languages"), F.transform(F.sequence(F.lit(1), F.lit(25)), lambda i: i.cast("string")).alias("audience"),
         F.when(_key() % 4 == 1, F.array(F.struct(F.lit("dl").alias("days"), F.lit("10").alias("hours")))).alias("hours"), F.array().cast("array<string>").alias("free"), F.when(_key() % 8 == 2, "Miró").alias("exhibition"), F.lit("2001-07-01").alias("exhibition_until"), none.cast("int").alias("visit_minutes"), none.cast("boolean").alias("book_ahead"),
-        F.when(_key() % 2 == 0, F.col("p_brand")).alias("artist"), none.cast("string").alias("room"), none.cast("array<string>").alias("surtitles"), cards.resolved_image().alias("image"), F.array(F.lit("10h")).alias("schedule"), (_key() % 2 == 1).alias("schedule_verified"), "venue_name",
-        F.when(_key() % 3 == 1, "Gràcia").alias("neighbourhood"), F.lit("culture").alias("category"), F.lit("12 €").alias("price"), F.lit("k").alias("dedupe_key"), (_key() % 6 == 0).alias("locked"),
+        F.when(_key() % 2 == 0, F.col("p_brand")).alias("artist"), none.cast("string").alias("room"), none.cast("array<string>").alias("surtitles"), cards.resolved_image().alias("image"), F.array(F.lit("10h")).alias("schedule"), F.struct((_key() % 2 == 1).alias("schedule"), (_key() % 3 == 1).alias("price")).alias("verified"),
+        F.struct(F.col("venue_name").alias("name"), F.col("p_type").alias("address"), F.when(_key() % 3 == 1, "Gràcia").alias("neighborhood")).alias("venue"), F.lit("culture").alias("category"), F.lit("12 €").alias("price"), F.lit("k").alias("dedupe_key"), (_key() % 6 == 0).alias("locked"),
     )
     rows = rows.withColumn("merge_hint", matching.merge_hint(F.col("temporality"), F.col("sources")))
     text = cards.assembled(rows, NOW, I.PROMPT_VERSIONS["write"]).select("slug", F.to_json("card").alias("j"))
-    at = {"id": "$.id", "source_url": "$.sourceUrl", "why": "$.curated.whyWorthIt.es", "title_en": "$.i18n.title.en", "summary_en": "$.i18n.description.en", "transit": "$.curated.practical.transit.es", "includes": "$.curated.practical.priceIncludes", "score": "$.curated.score", "n_sources": "$.curated.consensus.sourceCount", "artist": "$.curated.show.artistOrCompany", "exhibition": "$.curated.museum.currentExhibition.title", "hours": "$.curated.museum.openingHours[0].hours", "end_date": "$.endDate", "image": "$.image", "schedule": "$.schedule[0]", "locked": "$.curated.locked", "last_audience": "$.audience[19]", "too_many": "$.audience[20]"}
+    at = {"id": "$.id", "source_url": "$.sourceUrl", "why": "$.curated.whyWorthIt.es", "title_en": "$.i18n.title.en", "summary_en": "$.i18n.description.en", "transit": "$.curated.practical.transit.es", "includes": "$.curated.practical.priceIncludes", "score": "$.curated.score", "n_sources": "$.curated.consensus.sourceCount", "publishers": "$.curated.provenance[*].publisher", "retrieved": "$.curated.provenance[1].retrievedAt", "verified": "$.curated.verified", "venue": "$.venue", "image_source": "$.imageSource", "merge_hint": "$.curated.keys.mergeHint", "artist": "$.curated.show.artistOrCompany", "exhibition": "$.curated.museum.currentExhibition.title", "hours": "$.curated.museum.openingHours[0].hours", "end_date": "$.endDate", "image": "$.image", "schedule": "$.schedule[0]", "locked": "$.curated.locked", "last_audience": "$.audience[19]", "too_many": "$.audience[20]"}
     has = {"has_show": "$.curated.show", "has_museum": "$.curated.museum"}
     got = F.get_json_object
     return text.select("slug", *[got("j", p).alias(c) for c, p in at.items()], *[got("j", p).isNotNull().alias(c) for c, p in has.items()])
@@ -218,7 +218,9 @@ def _cards_sql() -> str:
     museum = f"({m} AND (p_partkey % 4 = 1 OR p_partkey % 8 = 2))"
     return f"""SELECT 'slug-' || p_partkey AS slug, left('curated|' || CASE p_partkey % 3 WHEN 0 THEN 'plans' WHEN 1 THEN 'shows' ELSE 'museums' END || '|slug-' || p_partkey, 64) AS id, CASE WHEN p_partkey % 4 = 0 THEN 'https://o/' ELSE 'https://s1/' END AS source_url,
   {Q.clip("repeat(p_name || ' ', 30)", 160)} AS why, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS title_en, NULL::VARCHAR AS summary_en, CASE WHEN p_partkey % 3 <> 0 THEN {Q.clip("repeat('metro ', 50)", 200)} END AS transit, NULL::VARCHAR AS includes, (p_size + 1)::VARCHAR AS score,
-  CASE WHEN p_partkey % 2 = 0 THEN '1' ELSE '1' END AS n_sources, CASE WHEN {show} AND p_partkey % 2 = 0 THEN p_brand END AS artist, CASE WHEN {m} AND p_partkey % 8 = 2 THEN 'Miró' END AS exhibition, CASE WHEN {m} AND p_partkey % 4 = 1 THEN '10' END AS hours,
+  greatest((p_partkey % 2 = 0)::INTEGER + (p_partkey % 5 = 0)::INTEGER, 1)::VARCHAR AS n_sources, '["s1","' || CASE WHEN p_partkey % 4 = 0 THEN 'Museus de Barcelona' ELSE 'Articket BCN' END || '"]' AS publishers, '2001-06-02' AS retrieved,
+  '{{"schedule":' || (p_partkey % 2 = 1) || ',"price":' || ({show}) || '}}' AS verified, '{{"name":' || to_json(p_brand) || ',"address":' || to_json(p_type) || CASE WHEN {show} THEN ',"neighborhood":"Gràcia"' ELSE '' END || '}}' AS venue,
+  CASE WHEN ({shown}) AND NOT ({never}) THEN 'venue' END AS image_source, CASE WHEN p_partkey % 20 = 0 THEN 'merge' ELSE 'new' END AS merge_hint, CASE WHEN {show} AND p_partkey % 2 = 0 THEN p_brand END AS artist, CASE WHEN {m} AND p_partkey % 8 = 2 THEN 'Miró' END AS exhibition, CASE WHEN {m} AND p_partkey % 4 = 1 THEN '10' END AS hours,
   CASE WHEN {m} THEN '2002-06-15T00:00:00.000+02:00' WHEN p_partkey % 2 = 0 THEN '2001-06-21' END AS end_date, CASE WHEN ({shown}) AND NOT ({never}) THEN {url} END AS image, CASE WHEN p_partkey % 2 = 1 THEN '10h' END AS schedule, CASE WHEN p_partkey % 6 = 0 THEN 'true' END AS locked, '20' AS last_audience, NULL::VARCHAR AS too_many,
   {show} AND p_partkey % 2 = 0 AS has_show, {museum} AS has_museum FROM part WHERE {m} OR p_partkey % 7 <> 0"""
 
