@@ -3,6 +3,7 @@
 import random
 
 from harrow.operators import matching
+from harrow.plans import catalog
 
 
 def sets(t):
@@ -39,3 +40,11 @@ def test_every_alike_pair(spark):
     like = lambda g, h: len(g & h) / len(g | h) if g | h else 1.0
     want = {(i, j, like(sets(t), sets(u))) for i, t, _ in rows for j, u, _ in rows if i < j and like(sets(t), sets(u)) >= 0.82}
     assert len(got) == len(want) and {(r.a, r.b, r.likeness) for r in got} == want
+
+
+def test_title_trigram_pairs_begin_alike(spark, tmp_path):
+    t = "the same long title that many have here"
+    docs = [(1, t, "en"), (2, "x" + t[1:], "en"), (3, t[:-1] + "x", "en"), (4, t, "fr"), (5, t, None), (6, t, None), (7, None, "en"), (8, "", "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    pairs = {(r.a, r.b) for r in catalog.queries()["title_trigram_pairs"](spark, str(tmp_path)).collect()}
+    assert pairs == {(1, 3), (7, 8)}
