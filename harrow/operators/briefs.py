@@ -33,6 +33,14 @@ def screening_text(number: Column) -> Column:
 def material(kept: int = MOST_EXTRACTS) -> Column:
     """A cluster as labelled data with its first `kept` extracts. Columns: titles, venue_name, address, neighbourhood, district, lat, lng,
     transit_hints, date_summary, schedule_lines, price_texts, official_url, tickets_url, source_ids, extracts; null texts and lists are empty."""
+    return F.array_join(F.concat(_head(), _numbered(kept)), "\n")
+
+
+def _numbered(kept: int) -> Column:
+    return F.transform(F.slice(F.coalesce("extracts", F.array().cast("array<string>")), 1, kept), lambda e, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), clip(e, EXTRACT_CHARS)))
+
+
+def _head() -> Column:
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     first = lambda c, most, by: F.coalesce(F.array_join(F.slice(c, 1, most), by), F.lit(""))
     all_of = lambda c, by: F.coalesce(F.array_join(c, by), F.lit(""))
@@ -50,9 +58,7 @@ def material(kept: int = MOST_EXTRACTS) -> Column:
         ("ENTRADAS", F.coalesce("tickets_url", F.lit("—"))),
         ("FUENTES", all_of("source_ids", ", ")),
     )
-    numbered = F.transform(F.slice(F.coalesce("extracts", F.array().cast("array<string>")), 1, kept), lambda e, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), clip(e, EXTRACT_CHARS)))
-    head = F.array(*[F.concat(F.lit(f"{label}: "), x) for label, x in lines], F.lit("--- EXTRACTOS (datos, no texto a copiar) ---"))
-    return F.array_join(F.concat(head, numbered), "\n")
+    return F.array(*[F.concat(F.lit(f"{label}: "), x) for label, x in lines], F.lit("--- EXTRACTOS (datos, no texto a copiar) ---"))
 
 
 def with_material(clusters: DataFrame, most: int = MATERIAL_TOKENS) -> DataFrame:
@@ -60,7 +66,9 @@ def with_material(clusters: DataFrame, most: int = MATERIAL_TOKENS) -> DataFrame
 
     Extracts go first, from the last to the second; only material that is too long with a single one is clipped.
     """
-    tried = clusters.withColumns({f"_m{k}": material(k) for k in range(MOST_EXTRACTS, 0, -1)})
+    # The lines and the clipped extracts are columns of their own, so they are made once, not for each number of extracts.
+    parts = clusters.withColumns({"_head": _head(), "_numbered": _numbered(MOST_EXTRACTS)})
+    tried = parts.withColumns({f"_m{k}": F.array_join(F.concat("_head", F.slice("_numbered", 1, k)), "\n") for k in range(MOST_EXTRACTS, 0, -1)}).drop("_head", "_numbered")
     picked = clip(F.col("_m1"), most * 3)
     for k in range(1, MOST_EXTRACTS + 1):
         picked = F.when(approximate_tokens(F.col(f"_m{k}")) <= most, F.col(f"_m{k}")).otherwise(picked)

@@ -9,7 +9,7 @@ from harrow.functions import identity as I
 from harrow.functions import values as V
 from harrow.operators import batches, briefs, cards, changes, extract, matching, selection, verify
 from harrow.plans import sql as Q
-from harrow.plans.tables import NOW, table
+from harrow.plans.tables import NOW, dealt, table
 from harrow.sources import readers
 from harrow.sources.shared import shared_folder
 from harrow.streaming import flows
@@ -28,7 +28,7 @@ def _text(*parts) -> Column:
 def _clusters(spark: SparkSession, d: str) -> DataFrame:
     lines = F.transform(F.sequence(F.lit(1), F.lit(14)), lambda i: F.concat(F.expr("repeat('dl-dv 10h ', cast(p_partkey % 40 * 2 as int))"), i.cast("string")))
     extracts = F.array(F.expr("repeat(concat(p_name, ' '), cast(1 + p_partkey % 200 as int))"), F.expr("repeat(concat(p_type, ' x '), cast(1 + p_partkey % 90 as int))"), F.col("p_brand"), F.col("p_name"))
-    return table(spark, d, "part").select(
+    return dealt(table(spark, d, "part"), "p_partkey").select(
         "p_partkey", F.array(F.col("p_name"), _text(F.col("p_name"), " ", F.col("p_brand")), F.col("p_brand"), F.col("p_type")).alias("titles"), F.col("p_name").alias("title"), F.col("p_brand").alias("venue_name"), F.col("p_type").alias("address"),
         F.when(_key() % 3 != 0, _text("N", _key() % 7)).alias("neighbourhood"), F.when(_key() % 4 != 0, _text("D", _key() % 5)).alias("district"), (41.0 + (_key() % 100) / 8.0).alias("lat"), (2.0 + (_key() % 16) / 16.0).alias("lng"),
         F.when(_key() % 2 == 0, F.array(_text("L", _key() % 5), _text("bus ", _key() % 9))).otherwise(F.array().cast("array<string>")).alias("transit_hints"), _text("del ", _key(), " al ", _key() + 1).alias("date_summary"), lines.alias("schedule_lines"),
@@ -190,7 +190,7 @@ def assembled_cards(spark: SparkSession, d: str) -> DataFrame:
     none = F.lit(None)
     kind = F.when(_key() % 3 == 0, "plans").when(_key() % 3 == 1, "shows").otherwise("museums")
     sources = F.array(F.struct(F.lit("s1").alias("id"), F.when(_key() % 2 == 0, "A").otherwise("C").alias("tier"), F.lit("https://s1/").alias("url"), F.lit("2001-06-01").alias("retrieved_at")), F.struct(F.when(_key() % 4 == 0, "museus-bcn").otherwise("articket").alias("id"), F.when(_key() % 5 == 0, "B").otherwise("C").alias("tier"), F.lit("https://s2/").alias("url"), F.lit("2001-06-02").alias("retrieved_at")))
-    rows = table(spark, d, "part").withColumns({"candidate_url": _pick(IMAGES, _key()), "venue_name": F.col("p_brand"), "commons_url": none.cast("string"), "commons_credit": none.cast("string")}).select(
+    rows = dealt(table(spark, d, "part"), "p_partkey").withColumns({"candidate_url": _pick(IMAGES, _key()), "venue_name": F.col("p_brand"), "commons_url": none.cast("string"), "commons_credit": none.cast("string")}).select(
         _text("slug-", _key()).alias("slug"), kind.alias("collection"), (F.col("p_size") + 0.5).alias("total"), F.when(_key() % 5 == 0, "temporada").otherwise("puntual").alias("temporality"), sources.alias("sources"),
         F.when(_key() % 7 != 0, "2001-06-20").alias("start_date"), F.when(_key() % 2 == 0, "2001-06-21").alias("end_date"), F.when(_key() % 4 == 0, F.lit("https://o/")).alias("official_url"), none.cast("string").alias("tickets_url"),
         F.col("p_name").alias("title_es"), F.when(_key() % 2 == 0, F.col("p_brand")).alias("title_en"), F.col("p_type").alias("summary_es"), F.lit("").alias("summary_en"), F.expr("repeat(concat(p_name, ' '), 30)").alias("why_es"), none.cast("string").alias("why_en"),

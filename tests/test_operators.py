@@ -349,3 +349,12 @@ def test_merging_counts_each_row_once(spark):
     schema = "ord long, group_id long, title string, source_id string, tier string, trust double, url string, body_text string, description string, venue_name string, address string, lat double, lng double, price struct<type:string,amount:double,amount_max:double,currency:string,has_surcharge:boolean>, time_confidence string, collection string, category string, start_at timestamp, end_at timestamp, retrieved_at timestamp"
     got = {r.group_id: r.n_members for r in matching.merged(spark.createDataFrame(rows, schema)).collect()}
     assert got == {1: 1, 2: 2}
+
+
+@pytest.mark.parametrize("name", ["bounded_material", "assembled_cards"])
+def test_small_files_of_much_work_are_dealt(spark, tmp_path, name):
+    from harrow.plans import catalog
+
+    parts = [(i, f"name {i % 3}", f"Brand#{i % 5}", "PROMO", i % 9, 1.0) for i in range(200)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert catalog.queries()[name](spark, str(tmp_path)).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
