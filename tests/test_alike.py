@@ -2,6 +2,9 @@
 
 import random
 
+from pyspark.sql import functions as F
+
+from harrow.functions import text as T
 from harrow.operators import matching
 from harrow.plans import catalog
 
@@ -48,3 +51,19 @@ def test_title_trigram_pairs_begin_alike(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     pairs = {(r.a, r.b) for r in catalog.queries()["title_trigram_pairs"](spark, str(tmp_path)).collect()}
     assert pairs == {(1, 3), (7, 8)}
+
+
+def test_few_sets_meet(spark):
+    """Titles of common words and a number: few pairs meet by their keys, and all alike ones do, in large sets, small ones and those between."""
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(6)]
+    titles = {f"{rng.choice(words)} {rng.choice(words)} Brand#{rng.randrange(3)} {i * 300}" for i in range(1500)}
+    for n in (1, 2, 3, 4, 50, 54, 58, 62, 64, 66, 70, 90):
+        t = "".join(rng.choices("ijklmnopq", k=n + 2))
+        titles |= {t, t + "z", "z" + t, t[: n // 2] + "z" + t[n // 2 + 1 :], t[: n * 7 // 8], t + "".join(rng.choices("xyz", k=n // 8))}
+    rows = spark.createDataFrame([(t,) for t in titles], "title string").withColumn("g", T.trigrams("title"))
+    ranked = matching._ranked(rows, [], ["title"]).withColumn("key", F.explode(matching._keys(F.col("r"), matching.ALIKE))).select("title", "key")
+    met = {(r.a, r.b) for r in ranked.selectExpr("title a", "key").join(ranked.selectExpr("title b", "key"), "key").filter("a < b").select("a", "b").distinct().collect()}
+    own = {t: sets(t) for t in titles}
+    want = {(a, b) for a in titles for b in titles if a < b and len(own[a] & own[b]) / len(own[a] | own[b]) >= matching.ALIKE}
+    assert want <= met and 30 < len(want) and len(met) < 20 * len(titles)
