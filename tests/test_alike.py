@@ -67,3 +67,15 @@ def test_few_sets_meet(spark):
     own = {t: sets(t) for t in titles}
     want = {(a, b) for a in titles for b in titles if a < b and len(own[a] & own[b]) / len(own[a] | own[b]) >= matching.ALIKE}
     assert want <= met and 30 < len(want) and len(met) < 20 * len(titles)
+
+
+def test_bits_drop_no_alike_sets(spark):
+    rng = random.Random(9)
+    titles = sorted({t for _ in range(12) for t in [("".join(rng.choices("abcdefgh", k=rng.choice([1, 3, 20, 40, 120]))))] for t in (t, t + "z", t[:9] + "y" + t[10:])})
+    rows = spark.createDataFrame([(t,) for t in titles], "title string").withColumn("g", T.trigrams("title"))
+    rows = rows.select("title", F.size("g").alias("n"), matching._bits(F.col("g")).alias("bits"))
+    a, b = rows.alias("a"), rows.alias("b")
+    kept = a.crossJoin(b).filter(matching._may_be_alike(F.col("a.n"), F.col("b.n"), F.col("a.bits"), F.col("b.bits"), matching.ALIKE))
+    got = {(r.x, r.y) for r in kept.select(F.col("a.title").alias("x"), F.col("b.title").alias("y")).collect()}
+    want = {(s, t) for s in titles for t in titles if len(sets(s) & sets(t)) / len(sets(s) | sets(t)) >= matching.ALIKE}
+    assert want <= got and len(want) > len(titles) and len(got) < 3 * len(want)
