@@ -129,13 +129,16 @@ def stream_batch_outcomes(spark: SparkSession, d: str) -> DataFrame:
     folder = _folder(spark)
     sent = table(spark, d, "events").groupBy("user_id", F.date_trunc("day", "ts").alias("day")).agg(F.min("ts").alias("at"), F.min("event_id").alias("low"))
     sent = sent.select(F.concat_ws("-", "user_id", F.date_format("day", "dd")).alias("batch_id"), "at", "user_id", F.array(F.concat(F.lit("i"), "low")).alias("items"))
+    sent.write.parquet(f"{folder}/sent")
+    sent = spark.read.schema(sent.schema).parquet(f"{folder}/sent")
     ready = sent.filter("user_id % 4 <> 0").select("batch_id", F.lit("ready").alias("kind"), F.expr("at + make_interval(0, 0, 0, 0, cast(user_id * 7 % 41 as int))").alias("at"), F.lit(None).cast("array<string>").alias("items"))
     events = sent.select("batch_id", F.lit("submitted").alias("kind"), "at", "items").unionByName(ready)
+    week = F.least(F.lit(3), F.floor((F.dayofyear("at") - 1) / 8))
     for k in range(4):
-        week = F.least(F.lit(3), F.floor((F.dayofyear("at") - 1) / 8))
-        events.filter(week == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")  # one file a part, so that parts come in order
-    stream = spark.readStream.schema(flows.BATCH_EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    return flows.drained(flows.batch_outcomes(stream), folder).withColumn("at", F.date_trunc("second", "at"))
+        events.filter(week == k).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(flows.BATCH_EVENTS).parquet(f"{folder}/in")
+        told = flows.drained(flows.batch_outcomes(stream), folder)  # a run a part, so that parts come in order, each whole
+    return told.withColumn("at", F.date_trunc("second", "at"))
 
 
 _OUTCOMES = """s AS (SELECT user_id || '-' || strftime(ts, '%d') AS batch_id, any_value(user_id) AS user_id, min(ts) AS sent, 'i' || min(event_id) AS item FROM events GROUP BY 1),

@@ -108,9 +108,11 @@ def replayed(results: DataFrame, folder: str, key: str = "custom_id", order: lis
 
 
 BATCH_EVENTS = "batch_id string, kind string, at timestamp, items array<string>"
+#: Groups that batches are dealt over by hash; a group's state holds its batches, as a call of Python for each batch would cost more than its work.
+BATCH_GROUPS = 4096
 
 
-def batch_outcomes(events: DataFrame, hours: int = EXPIRY_HOURS, late: str = "1 hour") -> DataFrame:
+def batch_outcomes(events: DataFrame, hours: int = EXPIRY_HOURS, late: str = "1 hour", groups: int = BATCH_GROUPS) -> DataFrame:
     """events (batch_id, kind 'submitted' with items or 'ready', at) of batches to (batch_id, outcome, at, item).
 
     A result up to `hours` after its submission (that instant too) makes the batch 'ready', at the result's time. Without one it is 'expired' at the
@@ -119,53 +121,52 @@ def batch_outcomes(events: DataFrame, hours: int = EXPIRY_HOURS, late: str = "1
     whose time is beyond the span; a second result for a batch that is ready gives nothing, nor does a second submission while state is held.
     A result that comes before its submission waits for it, and is 'unknown' once the span has passed without one. Events without a time are left out.
     """
+    span = hours * 3_600_000
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        span = hours * 3_600_000
-        # Milliseconds: when submitted, when its result came (both -1 if not yet), and what was told of it.
-        submitted, result, told, items = state.get if state.exists else (-1, -1, "", [])
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # Of each batch, in milliseconds: when submitted, when its result came (both -1 if not yet), what was told of it, its items, and when its time is up.
+        held = {k: [*v] for k, *v in zip(*state.get, strict=True)} if state.exists else {}
         out: list[tuple] = []
-
-        def tell(outcome: str, ms: int, item: str | None = None) -> None:
-            out.append((key[0], outcome, ms, item))
-
-        def settle() -> None:
-            nonlocal told
-            if submitted >= 0 and not told and 0 <= result <= submitted + span:
-                told = "ready"
-                tell(told, result)
-
-        rows = [] if state.hasTimedOut else [r for b in batches for r in b.itertuples(index=False)]
-        for r in sorted(rows, key=lambda r: (r.ms, r.kind != "submitted", list(r.sent))):
-            ms = int(r.ms)
-            if r.kind == "submitted" and submitted < 0:
-                submitted, items = ms, list(r.sent)
-            elif r.kind == "ready" and told == "expired" or r.kind == "ready" and submitted >= 0 and not told and ms > submitted + span:
-                tell("late", ms)
-            elif r.kind == "ready" and result < 0:
-                result = ms
-            settle()
-        since = submitted if submitted >= 0 else result
-        if state.hasTimedOut and not told:
-            if submitted < 0:
-                tell("unknown", result)
-                state.remove()
+        now = state.getCurrentWatermarkMs()
+        come: dict[str | None, list[tuple]] = {}
+        for part in () if state.hasTimedOut else parts:
+            for batch, kind, ms, sent in zip(part["batch_id"], part["kind"], part["ms"], part["sent"], strict=True):
+                come.setdefault(batch, []).append((int(ms), kind != "submitted", list(sent), kind))
+        for batch, rows in come.items():
+            submitted, result, told, items, _ = held.get(batch, (-1, -1, "", [], 0))
+            for ms, _, sent, kind in sorted(rows, key=lambda r: r[:3]):
+                if kind == "submitted" and submitted < 0:
+                    submitted, items = ms, sent
+                elif kind == "ready" and told == "expired" or kind == "ready" and submitted >= 0 and not told and ms > submitted + span:
+                    out.append((batch, "late", ms, None))
+                elif kind == "ready" and result < 0:
+                    result = ms
+                if submitted >= 0 and not told and 0 <= result <= submitted + span:
+                    told = "ready"
+                    out.append((batch, told, result, None))
+            since = submitted if submitted >= 0 else result
+            if since >= 0:
+                held[batch] = [submitted, result, told, items if not told else [], max(since + span + 1 + (span if told else 0), now + 1)]
+        for batch in [k for k, v in held.items() if v[4] < now and k not in come]:
+            submitted, result, told, items, _ = held[batch]
+            if told or submitted < 0:
+                if not told:
+                    out.append((batch, "unknown", result, None))
+                del held[batch]
             else:
-                told = "expired"
-                tell(told, submitted + span + 1)
-                for item in items:
-                    tell("requeued", submitted + span + 1, item)
-                items = []
-        elif state.hasTimedOut:
+                out += [(batch, "expired", submitted + span + 1, None), *((batch, "requeued", submitted + span + 1, item) for item in items)]
+                held[batch] = [submitted, result, "expired", [], max(submitted + 2 * span + 1, now + 1)]
+        if held:
+            state.update(tuple(map(list, zip(*((k, *v) for k, v in held.items()), strict=True))))
+            state.setTimeoutTimestamp(max(min(v[4] for v in held.values()), now + 1))
+        elif state.exists:
             state.remove()
-        if since >= 0 and (state.exists or not state.hasTimedOut):
-            state.update((submitted, result, told, items if not told else []))
-            until = since + span + 1 + (span if told else 0)
-            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["batch_id", "outcome", "ms", "item"])
 
-    timed = events.filter(F.col("at").isNotNull()).withWatermark("at", late).select("batch_id", "kind", "at", F.unix_millis("at").alias("ms"), F.coalesce("items", F.array().cast("array<string>")).alias("sent"))
-    told = timed.groupBy("batch_id").applyInPandasWithState(step, "batch_id string, outcome string, ms long, item string", "submitted bigint, result bigint, told string, items array<string>", "append", GroupStateTimeout.EventTimeTimeout)
+    timed = events.filter(F.col("at").isNotNull()).withWatermark("at", late)
+    timed = timed.select(F.pmod(F.xxhash64("batch_id"), F.lit(groups)).alias("_group"), "batch_id", "kind", "at", F.unix_millis("at").alias("ms"), F.coalesce("items", F.array().cast("array<string>")).alias("sent"))
+    held = "ids array<string>, submitted array<bigint>, results array<bigint>, told array<string>, items array<array<string>>, due array<bigint>"
+    told = timed.groupBy("_group").applyInPandasWithState(step, "batch_id string, outcome string, ms long, item string", held, "append", GroupStateTimeout.EventTimeTimeout)
     return told.select("batch_id", "outcome", F.timestamp_millis("ms").alias("at"), "item")
 
 

@@ -68,6 +68,20 @@ def test_late_in_one_batch(batches):
     assert [r[:2] for r in got if r[0] != "w"] == [("a", "expired"), ("a", "late"), ("a", "requeued"), ("b", "ready")]
 
 
+def test_batches_share_groups(batches):
+    """Many batches in few groups of state: each has its own outcome, and what is told and over leaves its group."""
+    n = 300
+    batches.add(*[(f"b{i}", "submitted", at(i % 5), [f"i{i}"]) for i in range(n)], *[(f"b{i}", "ready", at(i % 5 + 2), None) for i in range(0, n, 3)])
+    batches.add(*[(f"b{i}", "ready", at(40), None) for i in range(1, n, 3)], ("z", "submitted", at(40), []))
+    got, held = drained(batches, flows.batch_outcomes(batches.stream(), groups=4))
+    want = [(f"b{i}", "ready") for i in range(0, n, 3)] + [(f"b{i}", o) for i in range(1, n, 3) for o in ("late", "expired", "requeued")] + [(f"b{i}", o) for i in range(2, n, 3) for o in ("expired", "requeued")]
+    assert sorted(r[:2] for r in got) == sorted(want) and held <= 4
+    batches.add(("y", "submitted", at(400), []))
+    drained(batches, flows.batch_outcomes(batches.stream(), groups=4))
+    batches.add(("y", "submitted", at(401), []))
+    assert drained(batches, flows.batch_outcomes(batches.stream(), groups=4))[1] <= 2
+
+
 def test_sights_within(spark, tmp_path):
     fed = Fed(spark, tmp_path, "k string, ts timestamp, n int")
     flow = lambda: flows.first_sights_within(fed.stream(), ["k"], "ts", "1 hour")
