@@ -33,30 +33,41 @@ def envelopes(cards: DataFrame, fields: list[str], licence: str) -> DataFrame:
     return rows.select("collection", "count", body.alias("body"), F.sha2(body, 256).alias("sha256"), F.octet_length(body).alias("bytes"))
 
 
-def parts(cards: DataFrame, fields: list[str], licence: str, part_cards: int = PART_CARDS) -> DataFrame:
-    """(collection, part, count, body, sha256, bytes): each collection as JSON documents of about part_cards cards in slug order.
-
-    A slug begins a part if its digest is divisible by part_cards, and names it (the first part is named ''), so a card that comes or goes changes
-    one part, or splits or joins two; all others keep name, body and digest. Parts in order of their names make up the collection. Cards are dealt by
-    ranges of collection and slug, and each range learns in which part it begins, so no task or row holds a collection. Cards of one slug, which should
-    be one, share a part, in the order of their fields. Null is a collection, and a slug, like others.
-    """
+def placed(cards: DataFrame, part_cards: int = PART_CARDS) -> DataFrame:
+    """cards (collection, slug, …) with the part of each, as parts() cuts them. Rows are shuffled twice and written, so long columns are better joined afterwards."""
     spark = cards.sparkSession
     ranges, path = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{shared_folder(spark)}/cards"
-    rows = cards.select("collection", "slug", F.struct(*fields).alias("card")).repartitionByRange(ranges, "collection", "slug")
-    rows.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    rows = cards.repartitionByRange(ranges, "collection", "slug").withColumn("_range", F.spark_partition_id())
+    rows.write.parquet(path)
     begins = F.when(F.conv(F.substring(F.md5("slug"), 1, 8), 16, 10).cast("long") % part_cards == 0, F.col("slug"))
     inside = Window.partitionBy("collection", "_range").orderBy("slug").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy("collection").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    dealt = spark.read.parquet(path).withColumn("_part", F.last(begins, ignorenulls=True).over(inside))
+    dealt = spark.read.schema(rows.schema).parquet(path).withColumn("_part", F.last(begins, ignorenulls=True).over(inside))
     ahead = dealt.groupBy("collection", "_range").agg(F.max("_part").alias("_last")).withColumn("_before", F.last("_last", ignorenulls=True).over(before))
     same = F.col("d.collection").eqNullSafe(F.col("a.collection")) & (F.col("d._range") == F.col("a._range"))
-    placed = dealt.alias("d").join(ahead.alias("a"), same).select("d.collection", "slug", "card", F.coalesce("_part", "_before", F.lit("")).alias("part"))
-    items = F.transform(F.array_sort(F.collect_list(F.struct("slug", "card"))), lambda x: x["card"])
-    whole = placed.groupBy("collection", "part").agg(F.count("*").alias("count"), items.alias("items"))
+    return dealt.alias("d").join(ahead.alias("a"), same).select(*[f"d.{c}" for c in cards.columns], F.coalesce("_part", "_before", F.lit("")).alias("part"))
+
+
+def bodies(cards: DataFrame, fields: list[str], licence: str) -> DataFrame:
+    """(collection, part, count, body, sha256, bytes) of cards (collection, part, slug, fields), which are shuffled once."""
+    items = F.transform(F.array_sort(F.collect_list(F.struct("slug", F.struct(*fields).alias("card")))), lambda x: x["card"])
+    whole = cards.groupBy("collection", "part").agg(F.count("*").alias("count"), items.alias("items"))
     body = F.to_json(F.struct("collection", "part", "count", F.lit(licence).alias("licence"), "items"))
-    bodies = whole.select("collection", "part", "count", body.alias("body"))
-    return bodies.select("*", F.sha2("body", 256).alias("sha256"), F.octet_length("body").cast("long").alias("bytes"))
+    texts = whole.select("collection", "part", "count", body.alias("body"))
+    return texts.select("*", F.sha2("body", 256).alias("sha256"), F.octet_length("body").cast("long").alias("bytes"))
+
+
+def parts(cards: DataFrame, fields: list[str], licence: str, part_cards: int = PART_CARDS) -> DataFrame:
+    """(collection, part, count, body, sha256, bytes): each collection as JSON documents of about part_cards cards in slug order.
+
+    A slug begins a part if its digest is divisible by part_cards, and names it (the first part is named ''), so a card that comes or goes changes
+    one part, or splits or joins two; all others keep name, body and digest. Parts in order of their names make up the collection. Slugs alone are dealt by
+    ranges of collection and slug, and each range learns in which part it begins, so no task or row holds a collection. Cards of one slug, which should
+    be one, share a part, in the order of their fields. Null is a collection, and a slug, like others.
+    """
+    where = placed(cards.select("collection", "slug").distinct(), part_cards)
+    same = F.col("c.collection").eqNullSafe(F.col("w.collection")) & F.col("c.slug").eqNullSafe(F.col("w.slug"))
+    return bodies(cards.alias("c").join(where.alias("w"), same).select("c.*", "w.part"), fields, licence)
 
 
 def index(published: DataFrame) -> DataFrame:

@@ -301,6 +301,22 @@ def test_diversify_prunes_no_pick(spark, venues, places, limit):
     assert [r.ord for r in got] == picks
 
 
+def test_parts_are_placed_without_texts(spark):
+    """Only slugs are written to find the parts; long texts come to them afterwards, also with cards of one slug and nulls."""
+    from pathlib import Path
+
+    rng = random.Random(11)
+    rows = [(rng.choice("ab"), f"s{i % 190}", rng.randbytes(2000).hex()) for i in range(200)] + [(None, None, "x"), ("a", None, "y")]
+    cards = spark.createDataFrame(rows, "collection string, slug string, text string")
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    size = lambda: sum(p.stat().st_size for p in root.rglob("*.parquet"))
+    before = size()
+    got = publish.parts(cards, ["slug", "text"], "CC", 20).select("collection", "part", "count", "sha256").collect()
+    assert 0 < size() - before < 100_000 and sum(r["count"] for r in got) == len(rows)
+    again = publish.bodies(publish.placed(cards, 20), ["slug", "text"], "CC").select("collection", "part", "count", "sha256").collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_greedy_groups_of_one_chain(spark):
     """A chain of a third of all rows, a row that thousands match, and ways down that end early: the groups are the loop's, in few rounds."""
     rng = random.Random(6)
