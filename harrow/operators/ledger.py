@@ -8,6 +8,7 @@ from decimal import Decimal
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from harrow.functions.text import half_up
 from harrow.sources.shared import shared_folder
@@ -51,17 +52,11 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _so_far(rows: DataFrame, value: str, highest: bool, path: str) -> DataFrame:
-    """rows (month, ord, amount, id) with so_far, the sum (or the highest) of value over the month's rows up to each. Rows are dealt by ranges of month
-    and order, so a range holds a part of a month at most: what the ranges before it come to is added to what runs inside it."""
-    total = F.max if highest else F.sum
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _stored(rows.repartitionByRange(parts, "month", *_ORDER).withColumn("_part", F.spark_partition_id()), path)
-    inside = total(value).over(Window.partitionBy("month", "_part").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0))
-    before = total("_t").over(Window.partitionBy("month").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row a range
-    ahead = dealt.groupBy("month", "_part").agg(total(value).alias("_t")).select("month", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    both = F.greatest("_before", "_inside") if highest else F.col("_before") + F.col("_inside")
-    return dealt.withColumn("_inside", inside).join(ahead, ["month", "_part"]).withColumn("so_far", both).drop("_part", "_inside", "_before")
+def _before(rows: DataFrame, value: Column) -> DataFrame:
+    """(month, part, before) of rows dealt by ranges of month and order: what `value`, an aggregate's column _t, comes to over the month's ranges before
+    each; null for the first. One row a range."""
+    ahead = Window.partitionBy("month").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select("month", "part", value.over(ahead).alias("before"))
 
 
 def guard(calls: DataFrame, budget: float = BUDGET, loop_calls: int = LOOP_CALLS) -> DataFrame:
@@ -76,8 +71,12 @@ def guard(calls: DataFrame, budget: float = BUDGET, loop_calls: int = LOOP_CALLS
     """
     folder, limit, no_month = shared_folder(calls.sparkSession), Decimal(budget), "\0"
     amount = F.when(F.col("eur") < 0, F.raise_error(F.lit("an amount below zero"))).when(F.isnan("eur"), None).otherwise(F.least("eur", F.lit(2.0 * budget + 1)).cast("decimal(38,18)"))
-    rows = _stored(calls.select(F.coalesce("month", F.lit(no_month)).alias("month"), "ord", "eur", amount.alias("amount")).withColumn("id", F.monotonically_increasing_id()), f"{folder}/calls")
-    columns = ["month", *_ORDER, "eur"]
+    ranges = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Rows are dealt once, by ranges of month and order, so a range holds a part of a month at most; equal ones share a range, where ids tell them apart.
+    dealt = calls.select(F.coalesce("month", F.lit(no_month)).alias("month"), "ord", "eur", amount.alias("amount")).repartitionByRange(ranges, "month", "ord", "amount")
+    rows = _stored(dealt.withColumns({"part": F.spark_partition_id(), "id": F.monotonically_increasing_id()}), f"{folder}/calls")
+    columns = ["month", "part", *_ORDER, "eur"]
+    inside = Window.partitionBy("month", "part").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
     left = rows.filter(F.col("amount") <= F.lit(limit + NEAR)).select(*columns, F.lit(0).cast("decimal(38,18)").alias("base"))
     kept, number = [], 0
     while True:
@@ -86,10 +85,13 @@ def guard(calls: DataFrame, budget: float = BUDGET, loop_calls: int = LOOP_CALLS
         kept.append(few.select(*columns))
         if sizes.filter(F.col("_n") > loop_calls).limit(1).count() == 0:
             break
-        summed = _so_far(many, "amount", False, f"{folder}/dealt{number}").withColumn("so_far", (F.col("base") + F.col("so_far")).cast("decimal(38,18)"))
-        summed = _stored(summed, f"{folder}/summed{number}")
+        # Where a month's sum passes the limit is found by the ranges' sums, and then inside the ranges that those before leave room for.
+        sums = many.groupBy("month", "part").agg(F.sum("amount").alias("_t"))
+        open_ranges = _before(sums, F.sum("_t")).withColumn("before", F.coalesce("before", F.lit(0)))
+        summed = many.join(open_ranges, ["month", "part"]).withColumn("_ahead", (F.col("base") + F.col("before")).cast("decimal(38,18)")).filter(F.col("_ahead") <= F.lit(limit - NEAR))
+        summed = summed.withColumn("so_far", (F.col("_ahead") + F.sum("amount").over(inside)).cast("decimal(38,18)"))
         reached = summed.filter(F.col("so_far") > F.lit(limit - NEAR)).groupBy("month").agg(F.min(F.struct(*_ORDER, "so_far")).alias("_stop"))
-        marked = summed.join(reached, "month", "left")
+        marked = many.join(_stored(reached, f"{folder}/reached{number}"), "month", "left")
         stop, own = F.struct(*[F.col(f"_stop.{c}") for c in _ORDER]), F.struct(*_ORDER)
         spent = F.col("_stop.so_far") - F.col("_stop.amount")
         unsure = F.col("_stop.so_far") <= F.lit(limit + NEAR)
@@ -101,22 +103,29 @@ def guard(calls: DataFrame, budget: float = BUDGET, loop_calls: int = LOOP_CALLS
     def loop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         month, spent = None, 0.0
         for batch in batches:
-            ids, sums = [], []
-            for own, one, eur in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            taken, sums = [], []
+            for n, (own, eur) in enumerate(zip(batch.column("month").to_pylist(), batch.column("eur").to_pylist(), strict=True)):
                 month, spent = own, spent if own == month else 0.0
                 if spent + eur <= budget:
                     spent += eur
-                    ids.append(one)
+                    taken.append(n)
                     sums.append(spent)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sums, pa.float64())], ["id", "spent"])
+            own = batch.take(pa.array(taken, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in keys), pa.array(sums, pa.float64())], [*keys, "spent"])
 
     stream = kept[0]
     for more in kept[1:]:
         stream = stream.unionByName(more)
-    stream = stream.repartition(F.col("month")).sortWithinPartitions("month", *_ORDER).select("month", "id", "eur")
-    judged = rows.join(stream.mapInArrow(loop, "id long, spent double"), "id", "left").withColumn("_spent", F.coalesce("spent", F.lit(0.0)))
-    out = _so_far(judged, "_spent", True, f"{folder}/judged")
-    return out.select(F.nullif("month", F.lit(no_month)).alias("month"), "ord", "eur", F.col("spent").isNotNull().alias("admitted"), F.col("so_far").alias("spent"))
+    stream = stream.repartition(F.col("month")).sortWithinPartitions("month", *_ORDER)
+    keys = ["month", "part", *_ORDER]
+    told = _stored(stream.mapInArrow(loop, StructType([*(rows.schema[c] for c in keys), StructField("spent", DoubleType())])), f"{folder}/told")
+    # What was told of a call goes right before it, so one pass over each range gives both what became of a call and what was spent until then.
+    both = rows.select(*keys, "eur", F.lit(None).cast("double").alias("spent"), F.lit(1).alias("_call")).unionByName(told.withColumn("_call", F.lit(0)), allowMissingColumns=True)
+    order = Window.partitionBy("month", "part").orderBy(*_ORDER, "_call")
+    judged = both.withColumns({"admitted": F.coalesce(F.lag("_call").over(order) == 0, F.lit(False)), "_inside": F.max("spent").over(order.rowsBetween(Window.unboundedPreceding, 0))}).filter("_call = 1")
+    ahead = _before(both.groupBy("month", "part").agg(F.max("spent").alias("_t")), F.max("_t"))
+    spent = F.coalesce(F.greatest("before", "_inside"), F.lit(0.0))
+    return judged.join(ahead, ["month", "part"]).select(F.nullif("month", F.lit(no_month)).alias("month"), "ord", "eur", "admitted", spent.alias("spent"))
 
 
 def warnings(calls: DataFrame, budget: float = BUDGET) -> DataFrame:

@@ -340,6 +340,19 @@ def test_greedy_groups_of_one_chain(spark):
         matching.greedy_groups(rows, spark.createDataFrame(chain, "a long, b long"), most_rounds=3)
 
 
+def test_guard_stores_calls_once(spark, monkeypatch):
+    counts, stored = [], ledger._stored
+
+    def counted(df, path):
+        out = stored(df, path)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(ledger, "_stored", counted)
+    calls = spark.createDataFrame([("m", i, 0.5 + i % 7) for i in range(400)], "month string, ord long, eur double")
+    assert ledger.guard(calls, loop_calls=5).filter("admitted").count() > 1 and 400 <= sum(counts) < 800
+
+
 @pytest.mark.parametrize("loop_calls", [0, 5, 10_000])
 def test_guard_by_rounds(spark, loop_calls):
     """A month of two thirds of all calls, amounts that fit late, ties, repeated calls, nulls: as a loop over each month, whatever a task may hold."""
