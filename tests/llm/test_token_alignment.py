@@ -80,3 +80,24 @@ def test_nothing(spark):
     assert ta.align(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     twice = ta.align(spark.createDataFrame([(1, "one two"), (1, "one two")], "doc_id long, text string"), groups=False).collect()
     assert len(twice) == 2 and twice[0] == twice[1] and twice[0].count_sum == 2 * twice[0].n_links
+
+
+def test_ranks_need_no_words(both):
+    both.words.clear()
+    for text in ["plain words, one space each ", "<|none|> <|endoftext|>", "ñandú 漢字 \U00013000 ䷿\nnext\n line", "x" * ta.LONGEST_RANKED, " ".join(texts(300, 5)).replace("▁", "").replace("　", "").replace("  ", " ").replace("  ", " ")]:
+        if "  " not in " " + text:
+            assert both.b_ids(text).tolist() == both.b.encode(text) and both.a_ids(" " + text).tolist() == both.whole.encode(" " + text, add_special_tokens=False).ids
+    assert not both.words
+    for text in [" two  spaces   and  ", "a " + "xy" * 1000 + " b", " ", "  ", "y" * 5000]:
+        assert both.b_ids(text).tolist() == both.b.encode(text)
+
+
+def test_links_of_a_group(both):
+    """One group of repeated ids on both sides: each pair once, with how often it is linked."""
+    a, b = np.array([5, 5, 7], np.int32), np.array([9, 9], np.int32)
+    row = (a, np.array([1, 2, 4]), np.array([3]), b, np.array([3, 4]), np.array([2]))
+    columns = [c.to_pylist() for c in ta._aligned(both, [ta._NONE, row, ta._NONE], True)]
+    assert columns[:4] == [[0, 3, 0], [0, 2, 0], [0, 1, 0], [0, 6, 0]]
+    assert columns[4] == ["", hashlib.sha256(b"5,5,7|9,9").hexdigest(), ""]
+    assert columns[5] == [[], [{"pair": 5 << 32 | 9, "n": 4}, {"pair": 7 << 32 | 9, "n": 2}], []]
+    assert columns[6] == [[], [{"a": [5, 5, 7], "b": [9, 9], "pair": None}], []]
