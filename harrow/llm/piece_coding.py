@@ -2,7 +2,7 @@
 
 Spaces become marks and a text is cut into marked words, which no piece of the vocabulary crosses. The distinct words of
 a stretch of texts are sorted, so that words with a common beginning follow each other as in a depth-first walk of
-their trie: the search keeps the forward scores of the common prefix and goes on from there. The result is the
+their trie: the search takes each distinct prefix once, all of one length together, with the forward scores of the shorter ones. The result is the
 segmentation with the largest sum of the model's piece scores. Characters outside the vocabulary become their bytes.
 """
 
@@ -29,7 +29,9 @@ SWAP = {ord(" "): MARK, ord(MARK): " "}
 WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose pieces a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+#: Words searched together, and the longest one (in characters) that is.
+TOGETHER, LONGEST_TOGETHER = 8192, 48
 
 
 def path_scores(scores: list[float]) -> list[float]:
@@ -90,8 +92,96 @@ class PieceVocabulary:
             out[self.bytes_first + b] = bytes([b])
         return out
 
+    @cached_property
+    def searched(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """endings as arrays: the sorted keys of its steps and the nodes they lead to; each node's piece (-1: none) and score."""
+        step, found = self.endings
+        keys = np.array(sorted(step), np.int64)
+        return keys, np.array([step[k] for k in keys.tolist()], np.int64), np.array([f[0] if f else -1 for f in found], np.int32), np.array([f[1] if f else -np.inf for f in found])
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """The pieces of each of the words, which are sorted. Of equally good paths the one with the longest last piece wins."""
+        pieces: dict[str, list[int]] = {}
+        short = [w for w in words if len(w) <= LONGEST_TOGETHER]
+        for k in range(0, len(short), TOGETHER):
+            flat, counts = self._encode_together(short[k : k + TOGETHER])
+            ends = np.cumsum(counts).tolist()
+            flat = flat.tolist()
+            pieces.update((w, flat[i:j]) for w, i, j in zip(short[k : k + TOGETHER], [0, *ends], ends, strict=False))
+        long = [w for w in words if len(w) > LONGEST_TOGETHER]
+        pieces.update(zip(long, self._encode_long(long), strict=True))
+        return [pieces[w] for w in words]
+
+    def _encode_together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of sorted words, one word after another, and how many each has.
+
+        A prefix that words share is one state. States are numbered by length, so those of one length are a range that follows from the ranges before."""
+        keys, nodes, piece_at, score_at = self.searched
+        most, n = max(map(len, self.pieces)), len(words)
+        lengths = np.fromiter(map(len, words), np.int64, n)
+        wide = int(lengths.max())
+        chars = np.array(words, f"U{wide}").view(np.uint32).reshape(n, wide)
+        same = np.zeros(n, np.int64)
+        same[1:] = np.minimum(np.hstack([chars[1:] != chars[:-1], np.ones((n - 1, 1), bool)]).argmax(axis=1), np.minimum(lengths[1:], lengths[:-1]))
+        chars, at = np.ascontiguousarray(chars.T).astype(np.int64), np.arange(wide)[:, None]
+        new = (at >= same) & (at < lengths)
+        number = np.cumsum(new.ravel()).reshape(wide, n)
+        state = np.zeros((wide + 1, n), np.int64)  # by length of the prefix; 0 is the empty one
+        state[1:] = np.maximum.accumulate(np.where(new, number, 0), axis=1)
+        last, word = (np.concatenate([[0], x]) for x in np.nonzero(new))  # of each state: the place of its last character, and a word
+        char = chars[last, word]
+
+        size = len(last)
+        score, piece, before = np.full((size, most), -np.inf), np.full((size, most), -1, np.int32), np.zeros((size, most), np.int32)
+        own, node = np.arange(1, size), np.zeros(size - 1, np.int64)
+        for d in range(most):  # pieces of d + 1 characters that end at a state; longer ones are in columns before
+            inside = last[own] >= d
+            own, node = own[inside], node[inside]
+            key = node << 21 | chars[last[own] - d, word[own]]
+            i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[i] == key
+            own, node = own[hit], nodes[i[hit]]
+            ends = piece_at[node] >= 0
+            a = own[ends]
+            score[a, most - 1 - d], piece[a, most - 1 - d], before[a, most - 1 - d] = score_at[node[ends]], piece_at[node[ends]], state[last[a] - d, word[a]]
+
+        as_bytes = 1 + (char >= 0x80) + (char >= 0x800) + (char >= 0x10000)
+        spelt = np.where(char == ord(" "), 3, as_bytes)  # a space stands for a mark
+        parent = state[last, word]  # the prefix without its last character
+        best, count, took, back = np.zeros(size), np.zeros(size, np.int64), np.full(size, -1, np.int32), np.zeros(size, np.int64)
+        to = np.cumsum(new.sum(axis=1)) + 1
+        for i, j in zip([1, *to.tolist()], to.tolist(), strict=False):
+            scores = best[before[i:j]] + score[i:j]
+            column = scores.argmax(axis=1)
+            row = np.arange(j - i)
+            top, took[i:j] = scores[row, column], piece[i:j][row, column]
+            none = took[i:j] < 0
+            back[i:j] = np.where(none, parent[i:j], before[i:j][row, column])
+            best[i:j] = np.where(none, best[parent[i:j]] + self.byte_score * as_bytes[i:j], top)
+            count[i:j] = count[back[i:j]] + np.where(none, spelt[i:j], 1)
+
+        now = state[lengths, np.arange(n)]
+        counts = count[now]
+        end = np.cumsum(counts)
+        flat = np.zeros(int(end[-1]), np.int32)
+        kinds, kind = np.unique(char[took < 0], return_inverse=True)
+        spelling = [(MARK if c == ord(" ") else chr(c)).encode("utf-8", "surrogatepass") for c in kinds.tolist()]
+        own_bytes, kind_of = np.array([list(b.ljust(4, b"\0")) for b in spelling], np.int32).reshape(-1, 4), np.zeros(size, np.int64)
+        kind_of[took < 0] = kind
+        while len(now):
+            plain = took[now] >= 0
+            flat[end[plain] - 1] = took[now[plain]]
+            odd, behind = now[~plain], end[~plain]
+            for k in range(4 if len(odd) else 0):
+                there = spelt[odd] > k
+                flat[(behind - spelt[odd] + k)[there]] = self.bytes_first + own_bytes[kind_of[odd[there]], k]
+            end = end - np.where(plain, 1, spelt[now])
+            now = back[now]
+            now, end = now[now > 0], end[now > 0]
+        return flat, counts
+
+    def _encode_long(self, words: list[str]) -> list[list[int]]:
+        """As encode_words(), a character after another, with no bound on a word's length."""
         step, found = self.endings
         out: list[list[int]] = []
         best, back, last = [0.0], [(0, 0)], ""  # by position: score, (where the last piece starts, its id or -1 for bytes)
@@ -146,14 +236,26 @@ class PieceVocabulary:
     def marked(key: str) -> str:
         if key[0] == "\0":
             return key[1:]
+        own = key.replace(MARK, " ")  # splitting left no spaces
         if key[0] == "\n":
-            return key[1:].translate(SWAP) or "\n"
-        return MARK + key.translate(SWAP)
+            return own[1:] or "\n"
+        return MARK + own
 
     def encode_keys(self, keys: set[str]) -> dict[str, list[int]]:
         """The pieces of each key's word."""
+        own, flat, counts = self.coded_keys(keys)
+        ends = np.cumsum(counts).tolist()
+        flat = flat.tolist()
+        return {k: flat[i:j] for k, i, j in zip(own, [0, *ends], ends, strict=False)}
+
+    def coded_keys(self, keys: set[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The keys in an order of their own, the pieces of their words one after another, and how many each has."""
         words = sorted((self.marked(k), k) for k in keys)
-        return {k: pieces for (_, k), pieces in zip(words, self.encode_words([w for w, _ in words]), strict=True)}
+        short, long = [x for x in words if len(x[0]) <= LONGEST_TOGETHER], [x for x in words if len(x[0]) > LONGEST_TOGETHER]
+        parts = [self._encode_together([w for w, _ in short[k : k + TOGETHER]]) for k in range(0, len(short), TOGETHER)]
+        more = self._encode_long([w for w, _ in long])
+        parts.append((np.fromiter(chain.from_iterable(more), np.int32), np.array([len(p) for p in more], np.int64)))
+        return [k for _, k in short + long], *(np.concatenate(x) for x in zip(*parts, strict=True))
 
     def encode(self, text: str) -> list[int]:
         keys = self.keys(text)
@@ -187,9 +289,9 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL, keep: list[str] | None =
                     ids, flat, ends = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
                 new = set().union(*rows) - ids.keys()
                 if new:
-                    coded = vocabulary.encode_keys(new)
-                    ids.update(zip(coded, range(len(ids), len(ids) + len(coded)), strict=True))
-                    more, stops = np.fromiter(chain.from_iterable(coded.values()), np.int32), ends[-1] + np.cumsum([len(c) for c in coded.values()])
+                    own, more, sizes = vocabulary.coded_keys(new)
+                    ids.update(zip(own, range(len(ids), len(ids) + len(own)), strict=True))
+                    stops = ends[-1] + np.cumsum(sizes)
                     if len(flat) < ends[-1] + len(more):
                         flat = np.concatenate([flat[: ends[-1]], np.zeros(ends[-1] + 2 * len(more), np.int32)])  # room to grow, so not every slice copies
                     flat[ends[-1] : ends[-1] + len(more)] = more

@@ -177,6 +177,20 @@ def test_piece_coding(spark):
     assert all(r.ids == v.encode(dict(rows)[r.doc_id]) and r.n_tokens == len(r.ids) for r in coded.collect())
 
 
+def test_words_searched_together(monkeypatch):
+    """Words searched together have the pieces of the search character by character, at borders of blocks and of lengths too."""
+    v = piece_coding.PieceVocabulary.load()
+    rng = random.Random(5)
+    parts = [*"abe '\n\0▁ ñ漢😀䷿\U00013000", "the", "ing", "tion", "▁▁"]
+    words = sorted({"".join(rng.choice(parts) for _ in range(rng.randint(1, 20))) for _ in range(1500)} | {"a", "a\0", "\0", "\0\0", "x" * 47, "x" * 48, "x" * 49, "ab" * 500})
+    slow = v._encode_long(words)
+    assert v.encode_words(words) == slow
+    monkeypatch.setattr(piece_coding, "TOGETHER", 7)
+    assert v.encode_words(words) == slow
+    keys = {k for t in ("some words ▁ of\na text", "two  spaces", "x" * 60) for k in v.keys(t)}
+    assert v.encode_keys(keys) == {k: v.encode_words([v.marked(k)])[0] for k in keys} and not v.encode_keys(set())
+
+
 @given(st.text(alphabet="ab ▁\n\0é", max_size=30))
 @settings(max_examples=80, deadline=None)
 def test_pieces_round_trip(text):
